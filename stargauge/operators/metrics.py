@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 MAPE_EPSILON = 1e-8
 METRICS = ("rmse", "mae", "r2", "mape")
 LOWER_IS_BETTER = ("rmse", "mae", "mape", "mse")
+ZERO_METRIC = 1e-9
 EXACT_MEDIAN_ROWS = 1_000_000
 _HISTOGRAM_CELLS = 4096
 
@@ -84,14 +85,20 @@ def comparison_text(comparison: DataFrame) -> DataFrame:
 
 
 def overfit_ratio(metrics: DataFrame) -> DataFrame:
-    """Relative change from train to test per model and metric: (test - train) / train."""
+    """Relative change from train to test per model and metric: (test - train) / train.
+
+    Null where the train value is zero up to rounding (the R2 of a constant prediction).
+    """
     side = {s: F.max(F.when(F.col("split") == s, F.col("value"))) for s in ("train", "test")}
     return (
         metrics.groupBy("model", "metric")
         .agg(side["train"].alias("train_value"), side["test"].alias("test_value"))
         .withColumn(
             "degradation",
-            F.try_divide(F.col("test_value") - F.col("train_value"), F.col("train_value")),
+            F.when(
+                F.abs("train_value") > ZERO_METRIC,
+                (F.col("test_value") - F.col("train_value")) / F.col("train_value"),
+            ),
         )
     )
 

@@ -1,0 +1 @@
+"""Registered queries over the tables of a data folder, and the SQL that checks them."""
