@@ -1,0 +1,76 @@
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import PROCESSED_SCHEMA
+from stargauge.operators.rolling import rolling_means
+
+
+def expected(pdf, size, exclude):
+    ordered = pdf.sort_values(["userId", "timestamp", "row_id"])
+    ratings = ordered.groupby("userId")["rating"]
+    if exclude:
+        value = ratings.transform(lambda x: x.shift(1).rolling(size, min_periods=1).mean())
+    else:
+        value = ratings.transform(lambda x: x.rolling(size, min_periods=1).mean())
+    return pd.Series(value.to_numpy(), index=ordered["row_id"]).sort_index()
+
+
+def check(df, pdf, exclude, **options):
+    got = rolling_means(df, (5, 10), exclude_current=exclude, **options).toPandas().set_index("row_id").sort_index()
+    assert len(got) == len(pdf)
+    for size in (5, 10):
+        assert np.allclose(got[f"user_rating_rolling_{size}"], expected(pdf, size, exclude), equal_nan=True)
+
+
+@pytest.mark.parametrize("exclude", [False, True])
+def test_plain_window(random_rows, exclude):
+    check(*random_rows, exclude)
+
+
+@pytest.mark.parametrize("exclude", [False, True])
+@pytest.mark.parametrize("partitions", [2, 7, 40])
+def test_hot_histories_are_cut_and_stay_exact(spark, exclude, partitions):
+    """One user holds most rows, with many ties in time; others are small."""
+    rng = np.random.default_rng(3)
+    n = 400
+    pdf = pd.DataFrame(
+        {
+            "row_id": range(n),
+            "userId": np.where(rng.random(n) < 0.7, 1, rng.integers(2, 6, n)),
+            "movieId": 1,
+            "rating": rng.integers(1, 11, n) / 2,
+            "timestamp": rng.integers(0, 40, n),
+            "genres": "A",
+        }
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check(spark.createDataFrame(pdf, PROCESSED_SCHEMA), pdf, exclude, hot_rows=50)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 5), st.integers(1, 10)), min_size=1, max_size=40))
+def test_any_history(spark, rows):
+    pdf = pd.DataFrame(
+        [(i, u, 1, r / 2, t, "A") for i, (u, t, r) in enumerate(rows)],
+        columns=["row_id", "userId", "movieId", "rating", "timestamp", "genres"],
+    )
+    df = spark.createDataFrame(pdf, PROCESSED_SCHEMA)
+    check(df, pdf, False, hot_rows=10)
+
+
+def test_one_sort_for_both_sizes(random_rows):
+    plan = rolling_means(random_rows[0])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1
+
+
+def test_missing_row_id(processed):
+    with pytest.raises(KeyError):
+        rolling_means(processed.drop("row_id"))
