@@ -1,0 +1,122 @@
+import math
+
+import numpy as np
+import pytest
+
+from stargauge.operators import metrics as ME
+from stargauge.operators import segments as SG
+
+
+def frame(spark, y, p):
+    return spark.createDataFrame(list(zip(y, p)), "rating double, prediction double")
+
+
+def test_regression_metrics_match_numpy(spark):
+    rng = np.random.default_rng(1)
+    y = rng.integers(1, 11, 200) / 2
+    p = y + rng.normal(size=200)
+    row = ME.regression_metrics(frame(spark, y.tolist(), p.tolist())).first()
+    assert row["rmse"] == pytest.approx(np.sqrt(np.mean((y - p) ** 2)))
+    assert row["mae"] == pytest.approx(np.mean(np.abs(y - p)))
+    assert row["r2"] == pytest.approx(1 - np.sum((y - p) ** 2) / np.sum((y - y.mean()) ** 2))
+    assert row["mape"] == pytest.approx(np.mean(np.abs((y - p) / (y + 1e-8))) * 100)
+    assert row["mse"] == pytest.approx(row["rmse"] ** 2) and row["n"] == 200
+
+
+def test_constant_label_has_no_r2(spark):
+    assert ME.regression_metrics(frame(spark, [2.0, 2.0], [1.0, 3.0])).first()["r2"] is None
+
+
+LONG = "model string, position int, metric string, value double"
+
+
+def test_best_model_ties_and_nan(spark):
+    rows = [
+        ("a", 0, "rmse", 0.9), ("b", 1, "rmse", 0.9), ("c", 2, "rmse", math.nan),
+        ("a", 0, "r2", 0.1), ("b", 1, "r2", 0.4), ("a", 0, "mape", 30.0), ("b", 1, "mae", None),
+    ]
+    best = {r["metric"]: r["best_model"] for r in ME.best_model(spark.createDataFrame(rows, LONG)).collect()}
+    assert best == {"rmse": "a", "r2": "b", "mape": "a"}
+
+
+def test_comparison_and_its_text(spark):
+    rows = [("a", 0, "rmse", 0.9), ("b", 1, "rmse", 0.8), ("a", 0, "mape", 31.234), ("b", 1, "mape", math.nan)]
+    table = ME.model_comparison(spark.createDataFrame(rows, LONG))
+    found = {r["model"]: r for r in table.collect()}
+    assert found["b"]["rmse_best"] and not found["a"]["rmse_best"]
+    assert found["a"]["mape_best"] and found["b"]["mape"] is None and found["a"]["r2"] is None
+    text = {r["model"]: r for r in ME.comparison_text(table).collect()}
+    assert text["b"]["rmse"] == "*0.8000" and text["a"]["mape"] == "*31.23" and text["b"]["mape"] == "N/A"
+
+
+def test_overfit_ratio_and_thresholds(spark):
+    rows = [("a", "train", "rmse", 0.5), ("a", "test", "rmse", 0.6), ("a", "train", "r2", 1e-17), ("a", "test", "r2", 0.5)]
+    metrics = spark.createDataFrame(rows, "model string, split string, metric string, value double")
+    ratio = {r["metric"]: r["degradation"] for r in ME.overfit_ratio(metrics).collect()}
+    assert ratio["rmse"] == pytest.approx(0.2) and ratio["r2"] is None
+    checked = ME.threshold_check(metrics.filter("split = 'test'"), {"rmse": ("<", 0.7), "r2": (">", 0.6)})
+    assert {r["metric"]: r["met"] for r in checked.collect()} == {"rmse": True, "r2": False}
+
+
+@pytest.mark.parametrize("limit", [1, 10, 10_000])
+def test_exact_median_with_a_hot_value(spark, limit):
+    rng = np.random.default_rng(5)
+    for values in (
+        np.where(rng.random(999) < 0.4, 3.25, rng.uniform(0.5, 5, 999)),
+        rng.uniform(0.5, 5, 500),
+        np.array([1.0, 2.0]),
+        np.array([4.0] * 7),
+        np.array([1e-300, 1e300, 5.0, 5.0 + 1e-15]),
+    ):
+        df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(5)
+        assert ME.exact_median(df, "v", limit) == pytest.approx(float(np.median(values)), rel=1e-15)
+    assert ME.exact_median(df.limit(0), "v", limit) is None
+
+
+def test_prediction_summary_and_head(spark):
+    rows = [(i, i, 1, float(i), 2.0, abs(i - 2.0)) for i in range(1, 5)]
+    df = spark.createDataFrame(rows, "original_index long, userId long, movieId long, predicted_rating double, actual_rating double, error double")
+    row = ME.prediction_summary(df).first()
+    assert row["predicted_median"] == 2.5 and row["total_predictions"] == 4
+    assert row["rmse"] == pytest.approx(math.sqrt((1 + 0 + 1 + 4) / 4))
+    assert "actual_mean" not in ME.prediction_summary(df.drop("actual_rating", "error")).columns
+    head = ME.head_predictions(df.repartition(3), 2).collect()
+    assert [r["original_index"] for r in head] == [1, 2]
+    assert ME.head_predictions(df, 99).count() == 4
+
+
+SCORED = "userId long, movieId long, rating double, prediction double, timestamp long, genres string"
+
+
+def test_segment_bounds_and_empty_history(spark):
+    sizes = {"new": 4, "casual": 5, "regular": 30, "active": 500, "power": 501}
+    rows = [(u, 1, 3.0, 2.0, 0, "A|B") for u, n in enumerate(sizes.values()) for _ in range(n)]
+    df = spark.createDataFrame(rows, SCORED)
+    found = {r["segment"]: r for r in SG.bias_by_user_activity(df).collect()}
+    assert {k: v["n"] for k, v in found.items()} == sizes
+    assert found["new"]["mean_bias"] == 1.0 and found["new"]["rmse"] == 1.0
+    assert [r["segment"] for r in SG.bias_by_popularity(df, df.limit(0)).collect()] == ["unknown"]
+    levels = {r["segment"]: r["n"] for r in SG.bias_by_engagement(df, {"low": 10}, "high").collect()}
+    assert levels == {"low": 9, "high": 1031}
+
+
+def test_genre_rows_count_once_per_genre(spark):
+    df = spark.createDataFrame([(1, 1, 3.0, 2.0, 0, "A|B|A"), (1, 2, 1.0, 2.0, 0, "A"), (1, 3, 1.0, 2.0, 0, None)], SCORED)
+    found = {r["genre"]: (r["n"], r["mean_bias"]) for r in SG.bias_by_genre(df).collect()}
+    assert found == {"A": (2, 0.0), "B": (1, 1.0)}
+
+
+def test_time_segments(spark):
+    day = 86400  # 1970-01-01 was a Thursday.
+    times = {2 * day + 3600: ("weekend", "late_night"), 4 * day + 12 * 3600: ("weekday", "afternoon")}
+    df = spark.createDataFrame([(1, 1, 3.0, 2.0, t, "A") for t in times], SCORED)
+    assert {r["segment"] for r in SG.bias_by_weekpart(df).collect()} == {"weekend", "weekday"}
+    assert {r["segment"] for r in SG.bias_by_daypart(df).collect()} == {"late_night", "afternoon"}
+
+
+def test_cold_start_flag_uses_history(spark):
+    rows = [(1, 1, 3.0, 2.0, 0, "A")] * 11 + [(2, 1, 3.0, 2.0, 0, "A")] * 5
+    history = spark.createDataFrame(rows, SCORED)
+    probe = spark.createDataFrame([(1, 1, 3.0, 2.0, 0, "A"), (2, 1, 3.0, 2.0, 0, "A"), (1, 9, 3.0, 2.0, 0, "A")], SCORED)
+    got = {(r["userId"], r["movieId"]): r["is_cold"] for r in SG.cold_start_flag(probe, history).collect()}
+    assert got == {(1, 1): False, (2, 1): True, (1, 9): True}
