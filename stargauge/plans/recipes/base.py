@@ -56,6 +56,17 @@ class RecipeModel(Model):
         self.tables = tables
         self.state = state or {}
 
+    def prepare(self, dataset: DataFrame) -> DataFrame:
+        """The joins and narrow features: the part worth storing when features are read often."""
+        raise NotImplementedError
+
+    def finish(self, prepared: DataFrame) -> DataFrame:
+        """Row-local widening of what :meth:`prepare` returned."""
+        return prepared
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.finish(self.prepare(dataset))
+
     @property
     def moments(self) -> Moments:
         return Moments(**self.state["moments"])

@@ -97,7 +97,7 @@ class BoostingRecipe(Recipe):
 class BoostingRecipeModel(RecipeModel):
     recipe = "gradient_boosting"
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
+    def prepare(self, dataset: DataFrame) -> DataFrame:
         """Needs ``rating`` and ``row_id``: the rolling means order ties by row id."""
         require_columns(dataset, ["rating", "timestamp", ROW_ID], "the processed table")
         # Window first, then the user join: both are keyed by user and share one exchange.

@@ -69,7 +69,7 @@ class ForestRecipe(Recipe):
 class ForestRecipeModel(RecipeModel):
     recipe = "random_forest"
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
+    def prepare(self, dataset: DataFrame) -> DataFrame:
         k = self.state["n_svd_components"]
         joined = attach_factors(dataset, self.tables["user"], "userId", "user_factors", k)
         joined = attach_factors(joined, self.tables["movie"], "movieId", "movie_factors", k)

@@ -51,8 +51,10 @@ def _base_features(df, tables, mean, vocabulary):
 class LinearRecipeModel(RecipeModel):
     recipe = "linear_regression"
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
+    def prepare(self, dataset: DataFrame) -> DataFrame:
         from_input = self.state["stats_scope"] == "input"
         tables = MF.stat_tables(dataset) if from_input else self.tables
-        base = _base_features(dataset, tables, self.state["global_mean"], self.vocabulary)
-        return scaled_interactions(base, "features", self.moments)
+        return _base_features(dataset, tables, self.state["global_mean"], self.vocabulary)
+
+    def finish(self, prepared: DataFrame) -> DataFrame:
+        return scaled_interactions(prepared, "features", self.moments)

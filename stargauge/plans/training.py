@@ -36,12 +36,14 @@ def build_features(
     train, test = train_test(processed, test_size, seed, keys)
     recipe = RECIPE_BY_MODEL[model_name](**recipe_params)
     fitted = recipe.fit(processed if fit_scope == "all" else train)
-    keep = [c for c in (ROW_ID, "userId", "movieId", "rating", "features") if c == "features" or c in processed.columns]
-    return (
-        fitted,
-        materialize(fitted.transform(train).select(*keep), f"{model_name}-train"),
-        materialize(fitted.transform(test).select(*keep), f"{model_name}-test"),
-    )
+    keys_and_target = (ROW_ID, "userId", "movieId", "rating")
+    keep = [c for c in keys_and_target if c in processed.columns] + ["features"]
+
+    def features(side: DataFrame, label: str) -> DataFrame:
+        narrow = materialize(fitted.prepare(side).select(*keep), f"{model_name}-{label}")
+        return fitted.finish(narrow)
+
+    return fitted, features(train, "train"), features(test, "test")
 
 
 def train_and_evaluate(

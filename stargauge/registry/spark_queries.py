@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import genres as G
 from ..functions import scores as S
+from ..functions.vectors import array_score
 from ..operators import encode as EN
 from ..operators import metrics as ME
 from ..operators import scale as SC
@@ -30,7 +32,7 @@ from ..plans.estimators import create_model, load_model, save_model
 from ..plans.recipes import BoostingRecipe, ForestRecipe, LinearRecipe, MlpRecipe, load_recipe
 from ..plans.recipes.forest import attach_latent_factors
 from ..plans.scoring import prediction_output, score
-from ..session import materialize, new_scratch_path
+from ..session import at_rest, materialize, new_scratch_path
 from ..sources import views
 from ..sources.readers import read_movies_csv, read_ratings_csv
 from ..sources.writers import read_feature_table, write_feature_table, write_table
@@ -73,14 +75,13 @@ def flat_features(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame
 
 def checksum(df: DataFrame, keys: list[str]) -> DataFrame:
     """Position-weighted sum and sum of squares of the feature array."""
-    weighted = F.transform("features", lambda x, i: x * (i + 1))
-    squares = F.transform("features", lambda x: x * x)
-    add = lambda total, x: total + x
+    weighted = array_score(lambda x: x @ np.arange(1.0, x.shape[1] + 1))("features")
+    squares = array_score(lambda x: (x * x).sum(axis=1))("features")
     return df.select(
         *keys,
         F.size("features").cast("long").alias("n_features"),
-        F.round(F.aggregate(weighted, F.lit(0.0), add), 4).alias("weighted_sum"),
-        F.round(F.aggregate(squares, F.lit(0.0), add), 4).alias("square_sum"),
+        F.round(weighted, 4).alias("weighted_sum"),
+        F.round(squares, 4).alias("square_sum"),
     )
 
 
@@ -107,7 +108,7 @@ def scan_movies(spark, folder):
 
 @query
 def feature_table(spark, folder):
-    processed = views.prep_e(spark, folder)
+    processed = at_rest(views.prep_e(spark, folder), "prep")
     model = MlpRecipe().fit(processed)
     path = new_scratch_path(spark, "feature-table")
     write_feature_table(model.transform(processed), model.feature_columns, path)
@@ -199,7 +200,7 @@ def attach_lookups(spark, folder):
 
 @query
 def attach_factors(spark, folder):
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     model = ForestRecipe(n_svd_components=10).fit(rows)
     return attach_latent_factors(rows, model).select("row_id", "user_factors", "movie_factors")
 
@@ -402,7 +403,7 @@ def svd_values(spark, folder):
 @query
 def svd_energy(spark, folder):
     """All components together carry the whole squared length of the matrix."""
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     width = rows.select("movieId").distinct().count()
     factors = svd_factors(rows, width, n_iter=1)
     values = singular_value_table(factors)
@@ -415,7 +416,7 @@ def svd_energy(spark, folder):
 
 @query
 def recipe_mlp(spark, folder):
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     model = MlpRecipe().fit(rows)
     names = genre_columns(model.feature_columns, model.vocabulary)
     return flat_features(model.transform(rows), ["row_id", "rating"], names)
@@ -423,13 +424,13 @@ def recipe_mlp(spark, folder):
 
 @query
 def recipe_linear(spark, folder):
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     return checksum(LinearRecipe().fit(rows).transform(rows), ["row_id", "rating"])
 
 
 @query
 def recipe_forest(spark, folder):
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     model = ForestRecipe(n_svd_components=20).fit(rows)
     return flat_features(model.transform(rows), ["row_id", "rating"], model.feature_columns)
 
@@ -437,7 +438,7 @@ def recipe_forest(spark, folder):
 @query
 def recipe_forest_stats(spark, folder):
     """The forest recipe without the factor columns, whose values SQL cannot give."""
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     model = ForestRecipe(n_svd_components=5).fit(rows)
     names = genre_columns(model.feature_columns, model.vocabulary)
     flat = flat_features(model.transform(rows), ["row_id", "rating"], names)
@@ -446,7 +447,7 @@ def recipe_forest_stats(spark, folder):
 
 @query
 def recipe_boosting(spark, folder):
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     model = BoostingRecipe().fit(rows)
     names = genre_columns(model.feature_columns, model.vocabulary)
     return flat_features(model.transform(rows), ["row_id", "rating"], names)
@@ -470,7 +471,7 @@ def _metrics_of(result: dict, spark: SparkSession) -> DataFrame:
 
 
 def _trained(spark, folder, name, **params):
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     return training.train_and_evaluate(rows, name, params)
 
 
@@ -510,7 +511,7 @@ def _small_network(spark, rows):
 
 @query
 def fit_mlp(spark, folder):
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     _, model = _small_network(spark, rows)
     history = [(h["epoch"], h["train_loss"], h["val_loss"]) for h in model.history]
     return rounded(spark.createDataFrame(history, "epoch int, train_loss double, val_loss double"))
@@ -518,7 +519,7 @@ def fit_mlp(spark, folder):
 
 @query
 def score_mlp(spark, folder):
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     recipe, model = _small_network(spark, rows)
     return rounded(model.transform(recipe.transform(rows)).select("row_id", "prediction"))
 
@@ -526,7 +527,7 @@ def score_mlp(spark, folder):
 @query
 def batch_score(spark, folder):
     """Recipe and network stored, loaded again, and applied to the raw ratings."""
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     recipe, model = _small_network(spark, rows)
     path = new_scratch_path(spark, "stored-model")
     recipe.save(f"{path}/recipe")
@@ -605,7 +606,7 @@ def threshold_check(spark, folder):
 
 @query
 def kfold_metrics(spark, folder):
-    rows = materialize(views.prep_e(spark, folder), "prep")
+    rows = at_rest(views.prep_e(spark, folder), "prep")
     features = MlpRecipe().fit(rows).transform(rows).select("row_id", "rating", "features")
     at_rest = materialize(features, "kfold-features")
     return rounded(training.cross_validate(at_rest, "linear_regression", 5))
