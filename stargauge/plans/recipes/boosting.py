@@ -100,16 +100,18 @@ class BoostingRecipeModel(RecipeModel):
     def prepare(self, dataset: DataFrame) -> DataFrame:
         """Needs ``rating`` and ``row_id``: the rolling means order ties by row id."""
         require_columns(dataset, ["rating", "timestamp", ROW_ID], "the processed table")
-        # Window first, then the user join: both are keyed by user and share one exchange.
+        # The narrow movie columns come first. The window and the join with the wide user table are
+        # both keyed by user: they share one exchange, and the user arrays never move again.
         rolled = rolling_means(
-            dataset,
+            attach(dataset, self.tables["movie"], "movieId"),
             ROLLING_SIZES,
             exclude_current=self.state["exclude_current"],
             hot_rows=self.state["hot_rows"],
+            count_in=dataset,
         )
         if self.state["with_age"]:
             rolled = add_movie_age(rolled)
-        joined = attach(attach(rolled, self.tables["user"], "userId"), self.tables["movie"], "movieId")
+        joined = attach(rolled, self.tables["user"], "userId")
         return joined.select(*dataset.columns, self._features(joined).alias("features"))
 
     def _features(self, joined: DataFrame) -> Column:

@@ -608,8 +608,8 @@ def threshold_check(spark, folder):
 def kfold_metrics(spark, folder):
     rows = at_rest(views.prep_e(spark, folder), "prep")
     features = MlpRecipe().fit(rows).transform(rows).select("row_id", "rating", "features")
-    at_rest = materialize(features, "kfold-features")
-    return rounded(training.cross_validate(at_rest, "linear_regression", 5))
+    stored = materialize(features, "kfold-features")
+    return rounded(training.cross_validate(stored, "linear_regression", 5))
 
 
 # --- segments ------------------------------------------------------------------------------------

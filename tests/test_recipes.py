@@ -201,3 +201,15 @@ def test_thousand_rows_in_five_seconds(spark):
     model = MlpRecipe().fit(df)
     assert len(matrix(model.transform(df))) == 1000
     assert time.time() - started < 5
+
+
+def test_window_and_user_join_share_one_exchange(spark, fitted, rest):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = fitted["gradient_boosting"].transform(rest)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Ratings by movie, movie table, ratings by user, user table.
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert "Python" not in plan
