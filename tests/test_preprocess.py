@@ -106,3 +106,11 @@ def test_plan_pushes_the_filter_and_prunes_columns(spark):
     plan = views.prep_l(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "p_retailprice" not in plan and "l_extendedprice" not in plan
     assert "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_sentinel_filter_reaches_the_scan(spark, ratings, movies, tmp_path):
+    movies.write.parquet(str(tmp_path / "movies"))
+    stored = spark.read.parquet(str(tmp_path / "movies"))
+    plan = preprocess(ratings, stored)._jdf.queryExecution().executedPlan().toString()
+    assert "Not(EqualNullSafe(genres,(no genres listed)))" in plan
+    assert "ReadSchema: struct<movieId:bigint,genres:string>" in plan
