@@ -48,13 +48,9 @@ def svd_factors(
     if n_components > n_movies:
         raise ValueError(f"n_components={n_components} exceeds the number of movies ({n_movies})")
     width = min(n_components + oversample, n_movies)
-    start = F.array(
-        *[
-            F.xxhash64(F.col("movieId"), F.lit(j), F.lit(seed)).cast("double") / F.lit(2.0**63)
-            for j in range(width)
-        ]
-    )
-    movie_basis = movies.select("movieId", start.alias("q"))
+    # One expression text per step: building some dozens of columns one call at a time is slower.
+    start = [f"cast(xxhash64(movieId, {j}, {seed}) as double) / 9.223372036854775808e18D" for j in range(width)]
+    movie_basis = movies.select("movieId", F.expr(f"array({', '.join(start)}) AS q"))
     for step in range(n_iter + 1):
         user_basis, width = _orthonormal(_product(cells, movie_basis, "movieId", "userId", width), width)
         movie_side = materialize(_product(cells, user_basis, "userId", "movieId", width), "svd-movies")
@@ -79,8 +75,8 @@ def svd_factors(
 
 def _product(cells: DataFrame, basis: DataFrame, on: str, to: str, width: int) -> DataFrame:
     """Matrix x basis: join the cells with the basis rows and sum per row of the other side."""
-    sums = [F.sum(F.col("rating") * F.col("q")[j]) for j in range(width)]
-    return cells.join(basis, on).groupBy(to).agg(F.array(*sums).alias("q"))
+    sums = ", ".join(f"sum(rating * q[{j}])" for j in range(width))
+    return cells.join(basis, on).groupBy(to).agg(F.expr(f"array({sums}) AS q"))
 
 
 def _gram(basis: DataFrame, width: int) -> np.ndarray:
@@ -110,12 +106,11 @@ def _orthonormal(basis: DataFrame, width: int) -> tuple[DataFrame, int]:
 
 
 def _signs(factors: DataFrame, width: int) -> np.ndarray:
-    """Sign of the entry with the largest absolute value per column (ties: the larger entry)."""
-    entry = [F.col("q")[j] for j in range(width)]
-    row = factors.agg(
-        *[F.max_by(e, F.struct(F.abs(e), e)).alias(f"s{j}") for j, e in enumerate(entry)]
-    ).first()
-    return np.array([1.0 if row[f"s{j}"] >= 0 else -1.0 for j in range(width)])
+    """Sign of the entry with the largest absolute value per column; positive on a tie."""
+    highs = ", ".join(f"max(q[{j}])" for j in range(width))
+    lows = ", ".join(f"min(q[{j}])" for j in range(width))
+    row = factors.agg(F.expr(f"array({highs}) AS high"), F.expr(f"array({lows}) AS low")).first()
+    return np.where(np.array(row["high"]) >= -np.array(row["low"]), 1.0, -1.0)
 
 
 def singular_value_table(factors: SvdFactors) -> DataFrame:

@@ -554,6 +554,22 @@ def oracle_sql() -> dict[str, str]:
                FROM (SELECT avg(rating) AS m FROM prep_e GROUP BY userId, movieId)""",
             "prep_e",
         ),
+        "svd_reconstruction": sql(
+            f"SELECT userId, movieId, {r6('avg(rating)', 'rating', 4)} FROM prep_e GROUP BY 1, 2", "prep_e"
+        ),
+        "fit_linear_means": sql(
+            """SELECT 'user_mean' AS term, round(b1, 5) AS coefficient FROM b
+               UNION ALL SELECT 'movie_mean', round(b2, 5) FROM b
+               UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2, 5) FROM b""",
+            "base_pred",
+            s="""SELECT avg(rating) AS my, avg(user_mean) AS m1, avg(movie_mean) AS m2,
+                        var_pop(user_mean) AS s11, var_pop(movie_mean) AS s22,
+                        covar_pop(user_mean, movie_mean) AS s12, covar_pop(user_mean, rating) AS s1y,
+                        covar_pop(movie_mean, rating) AS s2y
+                 FROM base_pred WHERE split = 'train'""",
+            b="""SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+                        (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s""",
+        ),
         "recipe_mlp": mlp_features(),
         "recipe_linear": linear_features(),
         "recipe_forest_stats": forest_features(),

@@ -411,6 +411,19 @@ def svd_energy(spark, folder):
     return values.agg(F.round(energy, 3).alias("energy"))
 
 
+@query
+def svd_reconstruction(spark, folder):
+    """User x movie factors with all components give back every rated cell."""
+    rows = at_rest(views.prep_e(spark, folder), "prep")
+    width = rows.select("movieId").distinct().count()
+    factors = svd_factors(rows, width, n_iter=1)
+    users = factors.user_factors.withColumnRenamed("factors", "u")
+    movies = factors.movie_factors.withColumnRenamed("factors", "v")
+    joined = attach(attach(ST.user_item_mean(rows), users, "userId"), movies, "movieId")
+    products = array_score(lambda x: (x[:, :width] * x[:, width:]).sum(axis=1))(F.concat("u", "v"))
+    return rounded(joined.select("userId", "movieId", products.alias("rating")), 4)
+
+
 # --- recipes -------------------------------------------------------------------------------------
 
 
@@ -480,6 +493,17 @@ def fit_linear(spark, folder):
     return _metrics_of(_trained(spark, folder, "linear_regression"), spark)
 
 
+@query
+def fit_linear_means(spark, folder):
+    """Least squares of the rating on the user mean and the movie mean, training side."""
+    train = B.predictions(spark, folder).filter("split = 'train'")
+    names = ["user_mean", "movie_mean"]
+    stored = materialize(EN.features_array(train, names).select("features", "rating"), "means")
+    model = create_model("linear_regression").fit(stored).model
+    terms = [*zip(names, model.coefficients.toArray().tolist()), ("intercept", model.intercept)]
+    return rounded(spark.createDataFrame(terms, "term string, coefficient double"), 5)
+
+
 @query
 def fit_forest(spark, folder):
     result = _trained(spark, folder, "random_forest", n_estimators=20, max_depth=8)

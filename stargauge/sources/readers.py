@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import materialize
-from .schemas import MOVIES, RATINGS, ROW_ID
+from .schemas import MOVIES, MOVIES_WITHOUT_TITLE, RATINGS, ROW_ID
 
 
 def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -16,9 +16,12 @@ def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
     return _read_csv(spark, path, RATINGS)
 
 
-def read_movies_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Movies from headed CSV; quoted titles may hold commas and doubled quotes."""
-    return _read_csv(spark, path, MOVIES)
+def read_movies_csv(spark: SparkSession, path: str, with_title: bool = True) -> DataFrame:
+    """Movies from headed CSV; quoted titles may hold commas and doubled quotes.
+
+    ``with_title=False`` reads files that have only ``movieId`` and ``genres``.
+    """
+    return _read_csv(spark, path, MOVIES if with_title else MOVIES_WITHOUT_TITLE)
 
 
 def read_ratings_with_row_id(spark: SparkSession, path: str) -> DataFrame:

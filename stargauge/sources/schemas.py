@@ -22,6 +22,8 @@ MOVIES = T.StructType(
     ]
 )
 
+MOVIES_WITHOUT_TITLE = T.StructType([f for f in MOVIES if f.name != "title"])
+
 # Fixed values.
 NO_GENRES = "(no genres listed)"
 GENRE_SEPARATOR = "|"

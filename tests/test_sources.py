@@ -22,6 +22,8 @@ def test_quoted_titles(spark, tmp_path):
     assert rows[1]["title"] == 'Say "hi" (1990)' and rows[1]["genres"] is None
     with pytest.raises(FileNotFoundError):
         R.read_movies_csv(spark, str(tmp_path / "none.csv"))
+    path.write_text("movieId,genres\n1,Comedy|Drama\n")
+    assert R.read_movies_csv(spark, str(path), with_title=False).first()[:] == (1, "Comedy|Drama")
 
 
 def test_row_ids_follow_file_order(spark, tmp_path):
