@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ...functions import genres as G
 from ...functions import scores as S
-from ...operators.attach import attach, attach_factors
+from ...operators.attach import attach_factors
 from ...operators.factors import svd_factors
 from ...operators.stats import collect_vocabulary, movie_stats, user_stats
 from ...session import materialize
@@ -96,8 +96,5 @@ def attach_latent_factors(df: DataFrame, model: ForestRecipeModel) -> DataFrame:
     k = model.state["n_svd_components"]
     users = latent_factors(model, "userId").withColumnRenamed("factors", "user_factors")
     movies = latent_factors(model, "movieId").withColumnRenamed("factors", "movie_factors")
-    joined = attach(attach(df, users, "userId"), movies, "movieId")
-    none = F.array_repeat(F.lit(0.0), k)
-    return joined.withColumns(
-        {c: F.coalesce(F.col(c), none) for c in ("user_factors", "movie_factors")}
-    )
+    joined = attach_factors(df, users, "userId", "user_factors", k)
+    return attach_factors(joined, movies, "movieId", "movie_factors", k)

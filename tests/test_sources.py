@@ -3,7 +3,6 @@ from types import SimpleNamespace
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from stargauge.plans.estimators import create_model, save_model
 from stargauge.plans.recipes import MlpRecipe
