@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stargauge.llm.byte_cnn import op9_quality_classifier
+from stargauge.llm.html_text import op6_html_extraction
+from stargauge.llm.imatch import op7_imatch
 from stargauge.llm.language_id import op4_language_id
 from stargauge.llm.packing import op1_packing
 from stargauge.llm.quality_rules import OP8_SQL, op8_quality_rules
@@ -15,6 +17,8 @@ from stargauge.llm.simhash import op10_simhash
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_language_id": op4_language_id,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_imatch": op7_imatch,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash": op10_simhash,
