@@ -10,6 +10,7 @@ from stargauge.llm.byte_cnn import op9_quality_classifier
 from stargauge.llm.html_text import op6_html_extraction
 from stargauge.llm.imatch import op7_imatch
 from stargauge.llm.language_id import op4_language_id
+from stargauge.llm.license_scan import op5_license_scan, oracle_sql as op5_sql
 from stargauge.llm.packing import op1_packing
 from stargauge.llm.quality_rules import OP8_SQL, op8_quality_rules
 from stargauge.llm.simhash import op10_simhash
@@ -17,6 +18,7 @@ from stargauge.llm.simhash import op10_simhash
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_language_id": op4_language_id,
+    "op5_license_scan": op5_license_scan,
     "op6_html_extraction": op6_html_extraction,
     "op7_imatch": op7_imatch,
     "op8_quality_rules": op8_quality_rules,
@@ -24,4 +26,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {"op8_quality_rules": OP8_SQL}
+ORACLES: dict[str, str] = {"op5_license_scan": op5_sql(), "op8_quality_rules": OP8_SQL}
