@@ -12,11 +12,15 @@ from stargauge.llm.imatch import op7_imatch
 from stargauge.llm.language_id import op4_language_id
 from stargauge.llm.license_scan import op5_license_scan, oracle_sql as op5_sql
 from stargauge.llm.packing import op1_packing
+from stargauge.llm.pitman_yor import op3_lm_scoring
 from stargauge.llm.quality_rules import OP8_SQL, op8_quality_rules
+from stargauge.llm.sentence_pieces import op2_sentence_pieces
 from stargauge.llm.simhash import op10_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_sentence_pieces": op2_sentence_pieces,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_language_id": op4_language_id,
     "op5_license_scan": op5_license_scan,
     "op6_html_extraction": op6_html_extraction,
