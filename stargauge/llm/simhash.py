@@ -169,14 +169,14 @@ def tile_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
 
 
 def component_ids(prints: DataFrame, ident: str = "doc_id", column: str = "simhash", bits: int = 3) -> DataFrame:
-    """``(fp, component_id)`` for every distinct fingerprint of a table of ids and fingerprints."""
+    """``(fp, root, component_id)`` for every distinct fingerprint of a table of ids and fingerprints."""
     distinct = prints.groupBy(F.col(column).alias("fp")).agg(F.min(ident).alias("first_id"))
     distinct = materialize(distinct, "fingerprints")
     roots = connected_components(link_fingerprints(distinct, bits))
     joined = distinct.join(roots, distinct["fp"] == roots["node"], "left")
     joined = joined.select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     heads = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return joined.join(heads, "root").select("fp", "component_id")
+    return joined.join(heads, "root").select("fp", "root", "component_id")
 
 
 def simhash_components(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
