@@ -92,7 +92,7 @@ def block_distances(fp: Column, mask: int, pivots: list[int]) -> Column:
 
 
 def linked_tile(fps: np.ndarray, coordinates: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among some fingerprints, as pairs of their positions."""
+    """A spanning forest of the links among some fingerprints (unsigned), as pairs of their positions."""
     edges, waiting = [], np.arange(len(fps))
     while len(waiting):
         stack, waiting = [waiting[0]], waiting[1:]
@@ -131,11 +131,12 @@ def link_fingerprints(
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j", "fp")
     )
-    pivot_values = np.array(refs, np.int64)
+    pivot_values = np.array(refs, np.int64).view(np.uint64)  # numpy counts the bits of absolute values
 
     def linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in tile_runs(batches):
-            edges = linked_tile(run, distance_table(run, pivot_values), bits)
+            bare = run.view(np.uint64)
+            edges = linked_tile(bare, distance_table(bare, pivot_values), bits)
             if edges:
                 at = np.array(edges)
                 yield pa.RecordBatch.from_arrays([pa.array(run[at[:, 0]]), pa.array(run[at[:, 1]])], names=["a", "b"])
