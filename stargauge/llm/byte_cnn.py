@@ -54,11 +54,14 @@ class ByteCnn:
             "out_bias": np.zeros(1, np.float32),
         }
 
-    def laid_out(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All bytes, each text padded by zeros to whole hops that end after its last window; hops per text."""
+    def laid_out(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All bytes, each text padded by zeros to whole hops that end after its last window; hops per
+        text; and the positions whose windows would reach into the next text."""
         hops = np.array([(len(t) + self.width - 2) // self.hop + 1 for t in texts])
         pieces = b"".join(t.ljust(n * self.hop, b"\0") for t, n in zip(texts, hops.tolist()))
-        return np.frombuffer(pieces + bytes(self.width), np.uint8), hops
+        ends = np.cumsum(hops) * self.hop
+        crossing = (ends[:, None] - np.arange(self.width - 1, 0, -1)).ravel()
+        return np.frombuffer(pieces + bytes(self.width), np.uint8), hops, crossing
 
     def chunks(self, peaks: np.ndarray, hops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Left and right hop of every chunk, and the first chunk of every text."""
@@ -88,7 +91,7 @@ class ByteCnn:
             for k in range(0, self.width, 2)
         ]
 
-        def peaks_of(data: np.ndarray, n_hops: int) -> np.ndarray:
+        def peaks_of(data: np.ndarray, n_hops: int, crossing: np.ndarray) -> np.ndarray:
             peaks = np.empty((n_hops, self.n_filters), np.float32)
             step = max(1, POSITIONS_AT_ONCE // self.hop)
             for a in range(0, n_hops, step):
@@ -99,12 +102,13 @@ class ByteCnn:
                 total = pairs[0].take(index[:n], axis=0)
                 for k in range(1, len(pairs)):
                     total += pairs[k].take(index[2 * k : 2 * k + n], axis=0)
+                total[crossing[slice(*np.searchsorted(crossing, [a * self.hop, b * self.hop]))] - a * self.hop] = -np.inf
                 peaks[a:b] = total.reshape(b - a, self.hop, -1).max(axis=1)
             return peaks + self.weights["filter_bias"]
 
         def score(texts: list[bytes]) -> np.ndarray:
-            data, hops = self.laid_out(texts)
-            peaks = peaks_of(data, int(hops.sum()))
+            data, hops, crossing = self.laid_out(texts)
+            peaks = peaks_of(data, int(hops.sum()), crossing)
             (left, right), starts = self.chunks(peaks, hops)
             logits = self.head(np.maximum(peaks[left], peaks[right]), starts)[-1]
             return 1 / (1 + np.exp(-np.clip(logits.astype(np.float64), -30, 30)))
@@ -114,12 +118,13 @@ class ByteCnn:
     def gradients(self, texts: list[bytes], labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         """Gradients of the weighted log loss; a filter learns from the positions of its peaks only."""
         w = self.weights
-        data, hops = self.laid_out(texts)
+        data, hops, crossing = self.laid_out(texts)
         n = int(hops.sum()) * self.hop
         wide = data.astype(np.intp)
         total = w["filters"][0].take(wide[:n], axis=0)
         for k in range(1, self.width):
             total += w["filters"][k].take(wide[k : k + n], axis=0)
+        total[crossing] = -np.inf
         total = total.reshape(-1, self.hop, self.n_filters)
         where = total.argmax(axis=1)
         peaks = np.take_along_axis(total, where[:, None, :], axis=1)[:, 0] + w["filter_bias"]
