@@ -9,8 +9,8 @@ A text's distinct terms inside the lexicon are sorted and hashed once for the wh
 for each of several randomised subsets of it. A subset keeps a term with a chance of ``2**-scale``;
 a fingerprint holds some neighbouring scales at which its text meets less than one term a subset, so
 that texts of any length can be likened, and one byte tells which. The likeness of two fingerprints
-is the share of equal hashes among the subsets of their common scales in which either has a term; it
-is 0 when they have no scale in common. A text without any term in the band is fingerprinted on all
+is the share of equal hashes among that of the whole lexicon and those of the subsets of their common
+scales in which either has a term; it is 0 when they have no scale in common. A text without any term in the band is fingerprinted on all
 its terms.
 
 Defined results: a null text is empty and its fingerprint has no terms; two texts without terms have
@@ -152,7 +152,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     x, y = a[2:].reshape(SPAN, REPLICAS), b[2:].reshape(SPAN, REPLICAS)
     x, y = x[max(0, shift) : SPAN + min(0, shift)], y[max(0, -shift) : SPAN - max(0, shift)]
     used = (x != 0) | (y != 0)
-    return float((x[used] == y[used]).mean()) if used.any() else float(a[1] == b[1])
+    return float(((x[used] == y[used]).sum() + (a[1] == b[1])) / (used.sum() + 1))
 
 
 def as_text(hashes: np.ndarray) -> str:
