@@ -1,0 +1,66 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from helpers import no_documents, odd_documents
+
+from stargauge.llm.imatch import SLOTS, Fingerprinter, as_text, edited, fingerprint_documents, hashed_terms, lexicon, likeness, slots_of
+
+ALL_TERMS = b"\xff" * (SLOTS // 8)
+
+
+def test_every_row_meets_the_next_one(spark):
+    draw = random.Random(6)
+    rows = [(i * 7 - 100, " ".join(draw.choice("abcdefgh") for _ in range(draw.randint(0, 30)))) for i in range(90)]
+    docs = spark.createDataFrame(draw.sample(rows, len(rows)), "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: r for r in fingerprint_documents(docs, ALL_TERMS).collect()}
+    prints = Fingerprinter(ALL_TERMS)
+    assert len(got) == len(rows)
+    for (ident, text), (_, following) in zip(rows, rows[1:] + rows[:1]):
+        changed = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        row = got[ident]
+        assert row["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest() and row["n_chars"] == len(text)
+        assert row["fingerprint"] == as_text(prints.hashes(text)) and row["edited_fingerprint"] == as_text(prints.hashes(changed))
+        assert row["near_edited"] == likeness(prints.hashes(text), prints.hashes(changed))
+        assert row["near_next"] == likeness(prints.hashes(text), prints.hashes(following))
+
+
+def test_lexicon_holds_the_band(spark):
+    texts = ["common middle%d rare%d" % (i % 20, i) for i in range(200)]
+    bitmap = lexicon(spark.createDataFrame([(t,) for t in texts], "text string"), band=(0.2, 0.8))
+    inside = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
+    slot = lambda term: int(slots_of(hashed_terms(term))[0])
+    assert not inside[slot("common")] and not inside[slot("rare5")] and inside[slot("middle5")]
+    assert inside.sum() == 20
+    prints = Fingerprinter(bitmap)
+    assert likeness(prints.hashes(texts[3]), prints.hashes("Rare7 MIDDLE3 common")) == 1.0
+
+
+def test_likeness_follows_shared_terms():
+    prints = Fingerprinter(ALL_TERMS)
+    terms = [f"term{i}" for i in range(400)]
+    whole = prints.hashes(" ".join(terms))
+    half = prints.hashes(" ".join(terms[:200] + [f"other{i}" for i in range(200)]))
+    nearly = prints.hashes(" ".join(terms[:390]))
+    none = prints.hashes(" ".join(f"else{i}" for i in range(400)))
+    assert likeness(whole, whole) == 1 and likeness(whole, none) < 0.1
+    assert likeness(whole, none) < likeness(whole, half) < likeness(whole, nearly) < 1
+    assert as_text(prints.hashes("b a a")) == as_text(prints.hashes("A, b!"))
+
+
+def test_edited_text():
+    assert edited("abcde", "XYZ") == "abcXY" and edited("abcd", "X") == "abX" and edited("", "x") == "" and edited("é", "x") == "é"
+
+
+def test_odd_rows_and_empty_table(spark):
+    docs = odd_documents(spark)
+    got = fingerprint_documents(docs, lexicon(docs)).collect()
+    assert len(got) == docs.count()
+    same = {r["fingerprint"] for r in got if r["doc_id"] in (5, 6)}
+    assert len(same) == 1 and [r["near_next"] for r in got if r["doc_id"] == 1] == [1.0]
+    one = fingerprint_documents(docs.where("doc_id = 0"), ALL_TERMS).collect()
+    assert len(one) == 1 and one[0]["near_next"] == 1.0
+    assert fingerprint_documents(no_documents(spark), lexicon(no_documents(spark))).count() == 0
+    with pytest.raises(TypeError):
+        fingerprint_documents(docs.withColumn("doc_id", docs["text"]), ALL_TERMS)
