@@ -9,8 +9,10 @@ from ..sources.schemas import MAX_RATING, MIN_RATING
 
 
 def clip(prediction: Column | str, low: float = MIN_RATING, high: float = MAX_RATING) -> Column:
+    """Prediction kept between the bounds; null and NaN stay what they are."""
     prediction = F.col(prediction) if isinstance(prediction, str) else prediction
-    return F.least(F.greatest(prediction, F.lit(low)), F.lit(high))
+    bounded = F.least(F.greatest(prediction, F.lit(low)), F.lit(high))
+    return F.when(prediction.isNull() | F.isnan(prediction), prediction).otherwise(bounded)
 
 
 def absolute_error(prediction: Column | str, actual: Column | str) -> Column:

@@ -15,16 +15,20 @@ from pyspark.sql import functions as F
 
 
 def to_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """List array of equal lengths -> (rows, width) matrix without copying per row."""
+    """List array of equal lengths -> (rows, width) matrix without copying per row.
+
+    Null arrays and arrays of different lengths raise; null elements become NaN.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
     if rows == 0:
         return np.empty((0, 0))
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    if flat.size % rows:
+    if column.null_count:
+        raise ValueError("a feature array is null")
+    if len(np.unique(np.diff(column.offsets.to_numpy()))) > 1:
         raise ValueError("feature arrays differ in length")
-    return flat.reshape(rows, -1)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
 
 
 def to_lists(matrix: np.ndarray) -> pa.ListArray:
@@ -33,6 +37,19 @@ def to_lists(matrix: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(matrix).ravel()))
 
 
+def past_nulls(column: pa.Array, function: Callable[[pa.Array], pa.Array], kind: pa.DataType) -> pa.Array:
+    """``function`` of the rows that are not null, with null where the input is null."""
+    if not len(column) or column.null_count == len(column):
+        return pa.nulls(len(column), kind)
+    if not column.null_count:
+        return function(column)
+    known = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+    places = np.zeros(len(column), np.int64)
+    places[known] = np.arange(len(known))
+    found = function(column.take(pa.array(known)))
+    return found.take(pa.array(places, mask=column.is_null().to_numpy(zero_copy_only=False)))
+
+
 def expand_pairs(matrix: np.ndarray) -> np.ndarray:
     """Inputs followed by all products i < j, in row-major order of (i, j)."""
     left, right = np.triu_indices(matrix.shape[1], 1)
@@ -45,25 +62,21 @@ def pair_names(names: list[str]) -> list[str]:
 
 
 def array_map(function: Callable[[np.ndarray], np.ndarray]) -> Callable[[Column | str], Column]:
-    """Column function array<double> -> array<double> from a matrix function."""
+    """Column function array<double> -> array<double> from a matrix function; null stays null."""
 
     @F.arrow_udf("array<double>")
     def apply(column: pa.Array) -> pa.Array:
-        if len(column) == 0:
-            return pa.array([], pa.list_(pa.float64()))
-        return to_lists(function(to_matrix(column)))
+        return past_nulls(column, lambda x: to_lists(function(to_matrix(x))), pa.list_(pa.float64()))
 
     return apply
 
 
 def array_score(function: Callable[[np.ndarray], np.ndarray]) -> Callable[[Column | str], Column]:
-    """Column function array<double> -> double from a matrix-to-vector function."""
+    """Column function array<double> -> double from a matrix-to-vector function; null stays null."""
 
     @F.arrow_udf("double")
     def apply(column: pa.Array) -> pa.Array:
-        if len(column) == 0:
-            return pa.array([], pa.float64())
-        return pa.array(function(to_matrix(column)), pa.float64())
+        return past_nulls(column, lambda x: pa.array(function(to_matrix(x)), pa.float64()), pa.float64())
 
     return apply
 

@@ -9,7 +9,6 @@ MAPE_EPSILON = 1e-8
 METRICS = ("rmse", "mae", "r2", "mape")
 LOWER_IS_BETTER = ("rmse", "mae", "mape", "mse")
 ZERO_METRIC = 1e-9
-EXACT_MEDIAN_ROWS = 1_000_000
 _HISTOGRAM_CELLS = 4096
 
 
@@ -117,30 +116,27 @@ def threshold_check(metrics: DataFrame, targets: dict[str, tuple[str, float]]) -
     return metrics.join(F.broadcast(goals), "metric").withColumn("met", met)
 
 
-def exact_median(df: DataFrame, column: str, limit: int = EXACT_MEDIAN_ROWS) -> float | None:
+def exact_median(df: DataFrame, column: str) -> float | None:
     """Exact median (mean of the two middle values for an even count) without a global sort.
 
     Counts values in a histogram of fixed size, keeps only the cell holding the wanted rank, and
-    repeats until at most ``limit`` values (or one distinct value) remain.
+    repeats until one distinct value remains. Nulls and NaN are left out.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null and not isnan(v)")
     n = values.count()
     if n == 0:
         return None
-    low = _value_at_rank(values, (n - 1) // 2, limit)
-    return low if n % 2 else (low + _value_at_rank(values, n // 2, limit)) / 2
+    low = _value_at_rank(values, (n - 1) // 2)
+    return low if n % 2 else (low + _value_at_rank(values, n // 2)) / 2
 
 
-def _value_at_rank(values: DataFrame, rank: int, limit: int) -> float:
+def _value_at_rank(values: DataFrame, rank: int) -> float:
     """The value with ``rank`` smaller-or-earlier ones in sorted order (0-based)."""
     while True:
-        span = values.agg(F.min("v").alias("a"), F.max("v").alias("b"), F.count("v").alias("n")).first()
+        span = values.agg(F.min("v").alias("a"), F.max("v").alias("b")).first()
         low, high = span["a"], span["b"]
         if low == high:
             return low
-        if span["n"] <= limit:
-            ordered = F.sort_array(F.collect_list("v"))
-            return values.agg(F.element_at(ordered, rank + 1)).first()[0]
         width = (high - low) / _HISTOGRAM_CELLS
         cell = F.least(F.floor((F.col("v") - low) / width), F.lit(_HISTOGRAM_CELLS - 1)) if width > 0 else (
             F.when(F.col("v") > low, 1).otherwise(0)
@@ -184,8 +180,6 @@ def prediction_summary(
             F.avg(error).alias("mean_absolute_error"),
             F.sqrt(F.avg(F.col(error) * F.col(error))).alias("rmse"),
         ]
-    if results.count() <= EXACT_MEDIAN_ROWS:
-        return results.agg(*exprs, F.median(prediction).alias("predicted_median"))
     median = exact_median(results, prediction)
     return results.agg(*exprs).withColumn("predicted_median", F.lit(median).cast("double"))
 

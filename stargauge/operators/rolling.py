@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from ..sources.schemas import ROW_ID, require_columns
 
-HOT_HISTORY_ROWS = 5_000_000
-
-
 def rolling_name(size: int) -> str:
     return f"user_rating_rolling_{size}"
 
@@ -22,36 +19,19 @@ def rolling_means(
     order: tuple[str, ...] = ("timestamp", ROW_ID),
     value: str = "rating",
     exclude_current: bool = False,
-    hot_rows: int = HOT_HISTORY_ROWS,
-    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Mean of the user's last ``n`` ratings for each ``n`` in ``sizes``; fewer rows are allowed.
 
     The current row is part of the frame unless ``exclude_current``. Columns are named
-    ``user_rating_rolling_<n>``. All sizes share one sort per user.
+    ``user_rating_rolling_<n>``. All sizes share one sort.
 
-    A window needs all rows of a user in one task. Users with more than ``hot_rows`` rows are
-    therefore taken out (at most rows/``hot_rows`` users, so their keys are small) and their
-    histories are cut into consecutive ranges; each range gets the few rows before it as a lead-in.
-    Without such users the plan is one ordinary window. Rows per user are counted in ``count_in``
-    where given: a cheaper frame with the same rows.
+    A window over a user's history would need all its rows in one task. The rows are therefore cut
+    into consecutive ranges of (user, order), which are written once, and each range gets the few
+    rows of the user before it as a lead-in, whatever the length of the history. Rows without a user
+    form a history of their own.
     """
     require_columns(df, [key, value, *order], "the rating table")
-    hot = (
-        (df if count_in is None else count_in)
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(key)
-    )
-    if hot.isEmpty():
-        return _windowed(df, sizes, [key], order, value, exclude_current)
-    hot = F.broadcast(checkpointed(hot))
-    rest = df.join(hot, key, "left_anti").select(*df.columns)
-    large = df.join(hot, key, "left_semi").select(*df.columns)
-    return _windowed(rest, sizes, [key], order, value, exclude_current).unionByName(
-        _ranged(large, sizes, key, order, value, exclude_current)
-    )
+    return _ranged(df, sizes, key, order, value, exclude_current)
 
 
 def _windowed(df, sizes, keys, order, value, exclude_current):

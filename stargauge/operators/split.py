@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from ..sources.schemas import ROW_ID
 
-BUCKETS = 100
+HASH_RANGE = 2**32
 
 
-def hash_bucket(keys: list[str], seed: int, buckets: int = BUCKETS) -> Column:
-    """First 32 bits of md5(keys|seed), modulo ``buckets``."""
+def key_hash(keys: list[str], seed: int) -> Column:
+    """First 32 bits of md5(keys|seed) as a number below ``HASH_RANGE``."""
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
-    head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return head % buckets
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def hash_split(
@@ -24,12 +23,11 @@ def hash_split(
     keys: list[str] | None = None,
     name: str = "split",
 ) -> DataFrame:
-    """Add ``split`` = 'test' for about ``test_size`` of the rows (whole percents), else 'train'."""
-    threshold = round(test_size * BUCKETS)
-    if not 0 < threshold < BUCKETS:
-        raise ValueError(f"test_size must lie between 0.01 and 0.99, not {test_size}")
-    bucket = hash_bucket(keys or [ROW_ID], seed)
-    return df.withColumn(name, F.when(bucket < threshold, "test").otherwise("train"))
+    """Add ``split`` = 'test' for about ``test_size`` of the rows, else 'train'."""
+    if not 0 < test_size < 1:
+        raise ValueError(f"test_size must lie between 0 and 1, not {test_size}")
+    low = key_hash(keys or [ROW_ID], seed) < F.lit(float(test_size * HASH_RANGE))
+    return df.withColumn(name, F.when(low, "test").otherwise("train"))
 
 
 def train_test(
@@ -47,4 +45,4 @@ def hash_folds(
     df: DataFrame, folds: int = 5, seed: int = 42, keys: list[str] | None = None
 ) -> DataFrame:
     """Add an integer ``fold`` in 0..folds-1."""
-    return df.withColumn("fold", hash_bucket(keys or [ROW_ID], seed, folds).cast("int"))
+    return df.withColumn("fold", (key_hash(keys or [ROW_ID], seed) % folds).cast("int"))

@@ -10,7 +10,7 @@ from ...functions import timeparts as TP
 from ...operators import stats as ST
 from ...operators.attach import attach
 from ...operators.encode import add_movie_age
-from ...operators.rolling import HOT_HISTORY_ROWS, rolling_means, rolling_name
+from ...operators.rolling import rolling_means, rolling_name
 from ...sources.schemas import ROW_ID, require_columns
 from .base import Recipe, RecipeModel, as_doubles, keyed_table, register
 
@@ -45,17 +45,15 @@ class BoostingRecipe(Recipe):
         preference_match: str = "substring",
         exclude_current: bool = False,
         vocabulary: list[str] | None = None,
-        hot_rows: int = HOT_HISTORY_ROWS,
     ):
         super().__init__()
         self.preference_match = preference_match
         self.exclude_current = exclude_current
         self.vocabulary = vocabulary
-        self.hot_rows = hot_rows
 
     def _fit(self, dataset: DataFrame) -> "BoostingRecipeModel":
         self._check(dataset)
-        vocabulary = self.vocabulary or ST.collect_vocabulary(dataset)
+        vocabulary = ST.collect_vocabulary(dataset) if self.vocabulary is None else self.vocabulary
         preferences = ST.genre_preferences(vocabulary, self.preference_match)
         user = keyed_table(
             dataset,
@@ -85,11 +83,7 @@ class BoostingRecipe(Recipe):
             names + SIZE_AND_MEAN_COLUMNS,
             vocabulary,
             {"user": user, "movie": movie},
-            {
-                "exclude_current": self.exclude_current,
-                "with_age": with_age,
-                "hot_rows": self.hot_rows,
-            },
+            {"exclude_current": self.exclude_current, "with_age": with_age},
         )
 
 
@@ -106,8 +100,6 @@ class BoostingRecipeModel(RecipeModel):
             attach(dataset, self.tables["movie"], "movieId"),
             ROLLING_SIZES,
             exclude_current=self.state["exclude_current"],
-            hot_rows=self.state["hot_rows"],
-            count_in=dataset,
         )
         if self.state["with_age"]:
             rolled = add_movie_age(rolled)

@@ -46,7 +46,7 @@ class ForestRecipe(Recipe):
         movie = movie_stats(dataset, "movie_rating_std").join(
             factors.movie_factors.withColumnRenamed("factors", "movie_factors"), "movieId", "left"
         )
-        vocabulary = self.vocabulary or collect_vocabulary(dataset)
+        vocabulary = collect_vocabulary(dataset) if self.vocabulary is None else self.vocabulary
         names = USER_COLUMNS + MOVIE_COLUMNS
         for i in range(k):
             names = names + [f"user_factor_{i}", f"movie_factor_{i}"]

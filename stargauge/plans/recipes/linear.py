@@ -29,7 +29,7 @@ class LinearRecipe(Recipe):
             name: materialize(table, f"linear-{name}")
             for name, table in MF.stat_tables(dataset).items()
         }
-        vocabulary = self.vocabulary or collect_vocabulary(dataset)
+        vocabulary = collect_vocabulary(dataset) if self.vocabulary is None else self.vocabulary
         mean = weighted_mean(tables["user"], "user_avg_rating", "user_rating_count")
         # The scaler makes two passes over the base features; they are narrow, so write them once.
         base = materialize(_base_features(dataset, tables, mean, vocabulary).select("features"), "linear-base")
@@ -44,7 +44,9 @@ class LinearRecipe(Recipe):
 
 def _base_features(df, tables, mean, vocabulary):
     joined = MF.attach_stats(df, tables, mean)
-    return joined.select(*df.columns, F.array(*MF.expressions(vocabulary)).alias("features"))
+    # A missing time or rating counts as 0, so that one such row cannot spoil a column's moments.
+    known = [F.coalesce(F.nanvl(c.cast("double"), F.lit(0.0)), F.lit(0.0)) for c in MF.expressions(vocabulary)]
+    return joined.select(*df.columns, F.array(*known).alias("features"))
 
 
 @register

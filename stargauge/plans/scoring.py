@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..operators.preprocess import preprocess
-from ..sources.readers import read_movies_csv, read_ratings_with_row_id, read_table
+from ..session import at_rest
+from ..sources.readers import CSV_READING, read_movies_csv, read_ratings_with_row_id, read_table
 from ..sources.schemas import ROW_ID, require_columns
 from ..sources.writers import write_predictions
 from .estimators import load_model
 from .recipes import RecipeModel, load_recipe
+from .recipes.base import Recipe
 
 
 def prediction_output(scored: DataFrame, add_actual_rating: bool = True) -> DataFrame:
@@ -32,13 +34,19 @@ def prediction_output(scored: DataFrame, add_actual_rating: bool = True) -> Data
 def score(
     ratings: DataFrame,
     movies: DataFrame | None,
-    recipe: RecipeModel,
+    recipe: RecipeModel | Recipe,
     model: Any,
     add_actual_rating: bool = True,
 ) -> DataFrame:
-    """Score ratings that carry ``row_id``; without ``movies`` they must hold genres already."""
+    """Score ratings that carry ``row_id``; without ``movies`` they must hold genres already.
+
+    A recipe that is not fitted yet is fitted on the rows to score.
+    """
     require_columns(ratings, [ROW_ID], "ratings")
     processed = preprocess(ratings, movies) if movies is not None else ratings
+    if isinstance(recipe, Recipe):
+        processed = at_rest(processed, "to-score")
+        recipe = recipe.fit(processed)
     return prediction_output(model.transform(recipe.transform(processed)), add_actual_rating)
 
 
@@ -59,5 +67,5 @@ def score_files(
     results = score(ratings, read_movies_csv(spark, movies_path), recipe, model, add_actual_rating)
     target = write_predictions(results, output_path, fmt)
     if fmt == "csv":
-        return spark.read.schema(results.schema).option("header", True).csv(target)
+        return spark.read.schema(results.schema).options(header=True, **CSV_READING).csv(target)
     return read_table(spark, target)

@@ -12,8 +12,8 @@ from ..operators.metrics import METRICS, regression_metrics
 from ..operators.split import hash_folds, train_test
 from ..session import materialize
 from ..sources.schemas import ROW_ID
-from .estimators import create_model, save_model
-from .recipes import RECIPE_BY_MODEL
+from .estimators import create_model, load_model, save_model
+from .recipes import RECIPE_BY_MODEL, load_recipe
 
 RUN_LOG = "run string, model string, kind string, key string, value double, text string"
 
@@ -29,15 +29,21 @@ def build_features(
 ):
     """(recipe model, train features, test features).
 
-    ``fit_scope='train'`` fits the recipe on the training side only; ``'all'`` on every row.
+    ``fit_scope='train'`` fits the recipe on the training side only and prepares each side by itself,
+    so histories (rolling means) start anew on the test side. ``'all'`` fits on every row, prepares
+    the whole table once and then splits it.
     """
     if fit_scope not in ("train", "all"):
         raise ValueError(f"fit_scope must be 'train' or 'all', not {fit_scope!r}")
-    train, test = train_test(processed, test_size, seed, keys)
     recipe = RECIPE_BY_MODEL[model_name](**recipe_params)
-    fitted = recipe.fit(processed if fit_scope == "all" else train)
-    keys_and_target = (ROW_ID, "userId", "movieId", "rating")
-    keep = [c for c in keys_and_target if c in processed.columns] + ["features"]
+    keys_and_target = (ROW_ID, "userId", "movieId", "rating", *(keys or []))
+    keep = [c for c in dict.fromkeys(keys_and_target) if c in processed.columns] + ["features"]
+    if fit_scope == "all":
+        fitted = recipe.fit(processed)
+        whole = materialize(fitted.prepare(processed).select(*keep), f"{model_name}-features")
+        return fitted, *(fitted.finish(side) for side in train_test(whole, test_size, seed, keys))
+    train, test = train_test(processed, test_size, seed, keys)
+    fitted = recipe.fit(train)
 
     def features(side: DataFrame, label: str) -> DataFrame:
         narrow = materialize(fitted.prepare(side).select(*keep), f"{model_name}-{label}")
@@ -64,18 +70,54 @@ def train_and_evaluate(
     if save_to:
         recipe.save(f"{save_to}/{model_name}/recipe")
         save_model(spark, model, f"{save_to}/{model_name}/model")
-    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    rows = regression_metrics(model.transform(both), by=["split"]).collect()
-    metrics = {row["split"]: {m: row[m] for m in (*METRICS, "mse", "n")} for row in rows}
     return {
         "recipe": recipe,
         "model": model,
-        "metrics": metrics,
+        "metrics": measured(model, train, test),
         "params": model_params or {},
         "features": len(recipe.feature_columns),
     }
 
 
+def measured(model: Any, train: DataFrame, test: DataFrame) -> dict[str, dict[str, Any]]:
+    """Metrics of both sides of a split, from one pass over each."""
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    rows = regression_metrics(model.transform(both), by=["split"]).collect()
+    return {row["split"]: {m: row[m] for m in (*METRICS, "mse", "n")} for row in rows}
+
+
+def evaluate_stored(
+    processed: DataFrame,
+    folder: str,
+    model_names: list[str],
+    test_size: float = 0.2,
+    seed: int = 42,
+    keys: list[str] | None = None,
+) -> dict[str, dict[str, Any]]:
+    """Measure stored models on the split they were trained with.
+
+    Each name is loaded from ``folder/<name>/{recipe,model}``; a missing one is recorded as
+    ``{"error": "Model not found"}``, any other failure by its message, and the rest go on.
+    """
+    spark = processed.sparkSession
+    results: dict[str, dict[str, Any]] = {}
+    train, test = train_test(processed, test_size, seed, keys)
+    for name in model_names:
+        try:
+            recipe = load_recipe(spark, f"{folder}/{name}/recipe")
+            model = load_model(spark, f"{folder}/{name}/model")
+        except FileNotFoundError:
+            results[name] = {"error": "Model not found"}
+            continue
+        try:
+            metrics = measured(model, recipe.transform(train), recipe.transform(test))
+            samples = {f"{side}_samples": values["n"] for side, values in metrics.items()}
+            results[name] = {"metrics": metrics, "features": len(recipe.feature_columns), **samples}
+        except Exception as error:
+            results[name] = {"error": f"{type(error).__name__}: {error}"}
+    return results
+
+
 def run_models(
     processed: DataFrame, jobs: dict[str, dict[str, Any]], **shared: Any
 ) -> dict[str, dict[str, Any]]:
@@ -139,15 +181,25 @@ def append_run_log(log: DataFrame, path: str) -> None:
 
 
 def cross_validate(
-    features: DataFrame, model_name: str, folds: int = 5, seed: int = 42, keys: list[str] | None = None, **params: Any
+    processed: DataFrame,
+    model_name: str,
+    folds: int = 5,
+    seed: int = 42,
+    keys: list[str] | None = None,
+    recipe_params: dict[str, Any] | None = None,
+    **params: Any,
 ) -> DataFrame:
-    """Metrics per held-out fold; folds come from the key hash. ``features`` should be at rest."""
-    marked = hash_folds(features, folds, seed, keys)
+    """Metrics per held-out fold; folds come from the key hash. ``processed`` should be at rest.
+
+    Recipe and model are fitted on the other folds, so a held-out rating is in none of its features.
+    """
+    marked = hash_folds(processed, folds, seed, keys)
     scored = None
     for fold in range(folds):
-        model = create_model(model_name, **params).fit(marked.filter(F.col("fold") != fold))
-        part = model.transform(marked.filter(F.col("fold") == fold)).select(
-            "fold", "rating", "prediction"
-        )
+        rest = marked.filter(F.col("fold") != fold)
+        recipe = RECIPE_BY_MODEL[model_name](**(recipe_params or {})).fit(rest)
+        model = create_model(model_name, **params).fit(recipe.transform(rest))
+        held_out = recipe.transform(marked.filter(F.col("fold") == fold))
+        part = model.transform(held_out).select("fold", "rating", "prediction")
         scored = part if scored is None else scored.unionByName(part)
     return regression_metrics(scored, by=["fold"])

@@ -35,7 +35,7 @@ VIEWS = {
     "prep_l": """
         SELECT r.*, m.genres FROM ratings_l r JOIN kept_movies m ON r.movieId = m.movieId""",
     "split_e": """
-        SELECT *, CASE WHEN cast('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 8) AS bigint) % 100 < 20
+        SELECT *, CASE WHEN cast('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 8) AS bigint) < 0.2 * 4294967296
                        THEN 'test' ELSE 'train' END AS split
         FROM prep_e""",
     "base_pred": """
@@ -467,6 +467,13 @@ def oracle_sql() -> dict[str, str]:
                ON p.userId = o.userId AND p.movieId = o.movieId AND p.timestamp = o.timestamp""",
             "prep_e",
         ),
+        "provenance_fan_out": sql(
+            """SELECT p.* EXCLUDE (row_id), o.row_id AS original_index FROM prep_e p LEFT JOIN (
+                   SELECT userId, movieId, timestamp, row_id FROM ratings_e
+                   UNION ALL SELECT userId, movieId, timestamp, -row_id - 1 FROM ratings_e WHERE row_id % 3 = 0) o
+               ON p.userId = o.userId AND p.movieId = o.movieId AND p.timestamp = o.timestamp""",
+            "prep_e",
+        ),
         "kept_rows": sql("SELECT row_id FROM prep_e", "prep_e"),
         "user_stats": sql(
             f"SELECT userId, {rounded_stats('user', 'user_std_rating')} FROM us",
@@ -575,7 +582,7 @@ def oracle_sql() -> dict[str, str]:
         "recipe_forest_stats": forest_features(),
         "recipe_boosting": boosting_features(),
         "hash_split": sql(
-            """SELECT row_id, CASE WHEN cast('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 8) AS bigint) % 100 < 20
+            """SELECT row_id, CASE WHEN cast('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 8) AS bigint) < 0.2 * 4294967296
                                    THEN 'test' ELSE 'train' END AS split FROM ratings_e""",
             "ratings_e",
         ),
@@ -628,8 +635,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bias_by_user_activity": sized_bias(
             "userId",
-            """WHEN size < 5 THEN 'new' WHEN size < 30 THEN 'casual' WHEN size < 100 THEN 'regular'
-               WHEN size <= 500 THEN 'active' ELSE 'power'""",
+            """WHEN size < 50 THEN 'new' WHEN size < 60 THEN 'casual' WHEN size < 70 THEN 'regular'
+               WHEN size < 80 THEN 'active' ELSE 'power'""",
         ),
         "bias_by_engagement": sized_bias(
             "userId", "WHEN size < 60 THEN 'low' WHEN size < 70 THEN 'medium' ELSE 'high'"

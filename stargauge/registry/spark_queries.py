@@ -211,6 +211,15 @@ def provenance(spark, folder):
     return provenance_join(processed, views.ratings_e(spark, folder))
 
 
+@query("provenance_fan_out")
+def provenance_fan_out(spark, folder):
+    """Every third rating also in a copy, so that keys meet more than once."""
+    processed = views.prep_e(spark, folder).drop("row_id")
+    ratings = views.ratings_e(spark, folder)
+    copies = ratings.filter("row_id % 3 = 0").withColumn("row_id", -F.col("row_id") - 1)
+    return provenance_join(processed, ratings.unionByName(copies), fan_out=True)
+
+
 @query("kept_rows")
 def kept_rows_query(spark, folder):
     return kept_rows(views.ratings_e(spark, folder), views.movies(spark, folder))
@@ -630,10 +639,19 @@ def threshold_check(spark, folder):
 
 @query
 def kfold_metrics(spark, folder):
+    """Recipe and model are fitted anew for each fold."""
+    rows = at_rest(views.prep_e(spark, folder), "prep")
+    return rounded(training.cross_validate(rows, "linear_regression", 5))
+
+
+@query
+def evaluate_stored(spark, folder):
+    """A stored model measured on its split again, and one that was never stored."""
     rows = at_rest(views.prep_e(spark, folder), "prep")
-    features = MlpRecipe().fit(rows).transform(rows).select("row_id", "rating", "features")
-    stored = materialize(features, "kfold-features")
-    return rounded(training.cross_validate(stored, "linear_regression", 5))
+    models = new_scratch_path(spark, "models")
+    training.run_models(rows, {"linear_regression": {}}, save_to=models)
+    results = training.evaluate_stored(rows, models, ["linear_regression", "random_forest"])
+    return rounded(training.run_log(spark, results, "stored"))
 
 
 # --- segments ------------------------------------------------------------------------------------
@@ -641,7 +659,9 @@ def kfold_metrics(spark, folder):
 
 @query
 def bias_by_user_activity(spark, folder):
-    return rounded(SG.bias_by_user_activity(B.blend_predictions(spark, folder)))
+    """Bounds that split the users of the test tables into all five classes."""
+    bounds = {"new": 50, "casual": 60, "regular": 70, "active": 80}
+    return rounded(SG.bias_by_user_activity(B.blend_predictions(spark, folder), bounds=bounds))
 
 
 @query

@@ -41,18 +41,18 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; one temporary folder where all runs in one process."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder every executor can reach before running on a cluster"
         )
-    return _LOCAL_FOLDERS.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="stargauge-")
-    )
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="stargauge-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -67,6 +67,17 @@ def new_scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/stargauge/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> bool:
+    """Remove the tables this application wrote to the shared folder; True if there were any.
+
+    Frames that read them (fitted recipes among them) cannot be used afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/stargauge/{spark.sparkContext.applicationId}"
+    )
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 

@@ -11,6 +11,12 @@ from ..session import materialize
 from .schemas import MOVIES, MOVIES_WITHOUT_TITLE, RATINGS, ROW_ID
 
 
+#: Quotes are doubled inside quoted values.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
+#: For reading: a quoted empty value is an empty text and a bare one null, since no value is the mark for null.
+CSV_READING = {**CSV_QUOTING, "nullValue": "\x00"}
+
+
 def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
     """Ratings from headed CSV with the declared schema (no inference pass)."""
     return _read_csv(spark, path, RATINGS)
@@ -77,8 +83,7 @@ def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return (
             spark.read.schema(schema)
             .option("header", True)
-            .option("quote", '"')
-            .option("escape", '"')
+            .options(**CSV_READING)
             .option("enforceSchema", False)
             .csv(path)
         )

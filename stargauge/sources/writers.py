@@ -8,17 +8,17 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .readers import read_table
+from .readers import CSV_QUOTING, read_table
 from .schemas import ROW_ID
 
 DEFAULT_PREDICTIONS_PATH = "predictions/mlp_predictions.csv"
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Replace the table at ``path`` (parquet by default, headed CSV on request)."""
+    """Replace the table at ``path`` (parquet by default, headed CSV the readers here understand on request)."""
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, **CSV_QUOTING)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -25,6 +25,13 @@ def test_quoted_titles(spark, tmp_path):
     assert R.read_movies_csv(spark, str(path), with_title=False).first()[:] == (1, "Comedy|Drama")
 
 
+def test_written_csv_reads_back(spark, tmp_path):
+    rows = [(1, 'Say "Hi", you (1999)', "Comedy|Drama"), (2, "", "A"), (3, None, None), (4, '"', "a,b"), (5, "back\\slash", '""')]
+    W.write_table(spark.createDataFrame(rows, "movieId long, title string, genres string"), str(tmp_path / "m"), "csv")
+    got = R.read_movies_csv(spark, str(tmp_path / "m")).orderBy("movieId").collect()
+    assert [tuple(r) for r in got] == rows
+
+
 def test_row_ids_follow_file_order(spark, tmp_path):
     path = tmp_path / "ratings.csv"
     lines = [f"{i % 50},{i % 7},3.5,{i}" for i in range(20000)]

@@ -1,3 +1,4 @@
+import math
 import datetime as dt
 
 import numpy as np
@@ -61,6 +62,9 @@ def test_movie_age_from_bad_years(spark):
 def test_scores(spark):
     df = spark.createDataFrame([(0.1, 2.0), (9.0, 4.0), (3.0, None)], "prediction double, rating double")
     assert [r["prediction"] for r in EN.clip_predictions(df).collect()] == [0.5, 5.0, 3.0]
+    holes = spark.createDataFrame([(None,), (float("nan"),)], "prediction double")
+    null, nan = [r["prediction"] for r in EN.clip_predictions(holes).collect()]
+    assert null is None and math.isnan(nan)
     assert df.select(S.deviation("prediction").alias("d")).collect()[2]["d"] == 0.0
 
 
