@@ -183,6 +183,22 @@ def test_boosting_end_to_end_beats_the_mean(random_rows):
     assert result["metrics"]["train"]["r2"] > 0.2
 
 
+def test_history_does_not_depend_on_arrow_batches(spark, learnable):
+    found = []
+    for size in ("16", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found.append(MlpRegressor(hidden_dims=[8], epochs=2, batch_size=32, shards=3).fit(learnable).history)
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [h["val_loss"] for h in found[0]] == pytest.approx([h["val_loss"] for h in found[1]], rel=1e-9)
+
+
+def test_shards_follow_the_rows(spark):
+    network = MlpRegressor(rows_per_shard=100)
+    assert network._shards_for(spark.range(2050)) == 21 and network._shards_for(spark.range(5)) == 8
+
+
 def test_cross_validation_covers_every_row(random_rows):
     rows = materialize(random_rows[0], "cv-rows")
     table = cross_validate(rows, "linear_regression", 3).collect()
