@@ -57,7 +57,7 @@ def family_of(language: str) -> str:
 def letters_of(text: str | None) -> bytes:
     """The lower-cased letters in UTF-8, runs of anything else as one blank; nothing without letters."""
     letters = NOT_LETTERS.sub(" ", (text or "").lower()).strip()
-    return f" {letters}    ".encode("utf-8", "replace") if letters else b""
+    return f" {letters}    ".encode("utf-8", "replace") if any(map(str.isalpha, letters)) else b""
 
 
 def gram_indices(data: np.ndarray) -> list[np.ndarray]:

@@ -29,6 +29,10 @@ def test_margins_match_single_lookups(monkeypatch):
     assert np.allclose(model.margins(texts)[:, 0], want, rtol=1e-4)
 
 
+def test_what_counts_as_letters():
+    assert letters_of(None) == letters_of(" 12 ² ½ _ !") == b"" and letters_of("É1b") == " é b    ".encode()
+
+
 def test_families():
     assert family_of("pt-BR") == "romance" and family_of("EN") == "germanic" and family_of("tlh") != family_of("vo")
 
