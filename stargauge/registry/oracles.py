@@ -425,7 +425,12 @@ def oracle_sql() -> dict[str, str]:
     targets = "(VALUES ('rmse', '<', 0.7::double), ('mae', '<', 0.5::double), ('r2', '>', 0.4::double)) AS t(metric, relation, target)"
     return {
         "scan_ratings": sql("SELECT userId, movieId, rating, timestamp FROM ratings_e", "ratings_e"),
-        "scan_movies": sql("SELECT * FROM movies", "movies"),
+        "scan_movies": sql(
+            """SELECT movieId, genres, CASE WHEN movieId % 5 = 0 THEN 'Say "' || title || '", twice'
+                                            WHEN movieId % 7 = 0 THEN ''
+                                            WHEN movieId % 11 <> 0 THEN title END AS title FROM movies""",
+            "movies",
+        ),
         "feature_table": mlp_features(),
         "profile": sql(
             " UNION ALL ".join(
@@ -549,9 +554,12 @@ def oracle_sql() -> dict[str, str]:
             r6("rating - ua", "user_rating_deviation") + ", " + r6("rating - ma", "movie_rating_deviation")
         ),
         "clip_predictions": sql(
-            f"""SELECT row_id, {r6("raw", "raw")}, {r6("least(greatest(raw, 0.5), 5.0)", "clipped")},
-                       {r6("abs(least(greatest(raw, 0.5), 5.0) - rating)", "error")}
-                FROM (SELECT row_id, rating, blend * 3 - 5 AS raw FROM base_pred)""",
+            f"""SELECT row_id, {r6("raw", "raw")}, {r6("clipped", "clipped")}, {r6("abs(clipped - rating)", "error")}
+                FROM (SELECT *, CASE WHEN raw IS NULL OR isnan(raw) THEN raw
+                                     ELSE least(greatest(raw, 0.5), 5.0) END AS clipped
+                      FROM (SELECT row_id, rating, CASE WHEN row_id % 10 = 5 THEN 'nan'::DOUBLE
+                                                        WHEN row_id % 10 <> 0 THEN blend * 3 - 5 END AS raw
+                            FROM base_pred))""",
             "base_pred",
         ),
         "standard_scale": two_scaled(),
@@ -586,6 +594,11 @@ def oracle_sql() -> dict[str, str]:
                                    THEN 'test' ELSE 'train' END AS split FROM ratings_e""",
             "ratings_e",
         ),
+        "hash_split_eighth": sql(
+            """SELECT row_id, CASE WHEN cast('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 8) AS bigint) < 0.125 * 4294967296
+                                   THEN 'test' ELSE 'train' END AS split FROM ratings_e""",
+            "ratings_e",
+        ),
         "prediction_output": sql(PREDICTION_OUTPUT, "base_pred"),
         "head_predictions": sql(
             f"""SELECT userId, movieId, predicted_rating, actual_rating, error, original_index

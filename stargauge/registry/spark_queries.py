@@ -101,8 +101,14 @@ def scan_ratings(spark, folder):
 
 @query
 def scan_movies(spark, folder):
+    """Some titles hold quotes and commas, some are empty, some are missing."""
     path = new_scratch_path(spark, "movies-csv")
-    write_table(views.movies(spark, folder), path, "csv")
+    quoted = F.concat(F.lit('Say "'), F.col("title"), F.lit('", twice'))
+    title = (
+        F.when(F.col("movieId") % 5 == 0, quoted).when(F.col("movieId") % 7 == 0, "")
+        .when(F.col("movieId") % 11 != 0, F.col("title"))
+    )
+    write_table(views.movies(spark, folder).withColumn("title", title), path, "csv")
     return read_movies_csv(spark, path)
 
 
@@ -211,6 +217,12 @@ def provenance(spark, folder):
     return provenance_join(processed, views.ratings_e(spark, folder))
 
 
+@query
+def hash_split_eighth(spark, folder):
+    """A share that is no whole per cent."""
+    return hash_split(views.ratings_e(spark, folder), 0.125).select("row_id", "split")
+
+
 @query("provenance_fan_out")
 def provenance_fan_out(spark, folder):
     """Every third rating also in a copy, so that keys meet more than once."""
@@ -376,9 +388,10 @@ def rating_deviation(spark, folder):
 
 @query
 def clip_predictions(spark, folder):
-    """Stretched predictions leave the rating range, so that clipping has an effect."""
+    """Stretched predictions leave the rating range, so that clipping has an effect; some are missing."""
     rows = B.blend_predictions(spark, folder)
-    stretched = rows.withColumn("raw", F.col("prediction") * 3 - 5)
+    raw = F.when(F.col("row_id") % 10 != 0, F.col("prediction") * 3 - 5)
+    stretched = rows.withColumn("raw", F.when(F.col("row_id") % 10 == 5, float("nan")).otherwise(raw))
     clipped = stretched.withColumn("clipped", S.clip("raw"))
     error = S.absolute_error("clipped", "rating")
     return rounded(clipped.select("row_id", "raw", "clipped", error.alias("error")))
