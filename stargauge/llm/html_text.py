@@ -290,7 +290,9 @@ def boilerplate_starts(streams: DataFrame, min_tokens: int, shard_tokens: int) -
     across = open_windows.join(shared.select("host", "window"), ["host", "window"])
     across = across.groupBy("key").agg(F.collect_list("place").alias("more"))
     both = found.select("key", "starts").join(across, "key", "left")
-    return both.select("key", F.concat("starts", F.coalesce("more", F.array().cast("array<int>"))).alias("starts"))
+    every = F.concat("starts", F.coalesce("more", F.array().cast("array<int>")))
+    # One row per key, also should the keys of two pages ever collide.
+    return both.groupBy("key").agg(F.flatten(F.collect_list(every)).alias("starts"))
 
 
 def shard_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray, bool]]]:

@@ -43,6 +43,7 @@ BAND = (0.15, 0.85)
 REPLICAS, SPAN = 20, 3
 NO_TERMS = 255
 TERMS_AT_ONCE = 1 << 19
+TEXTS_PER_PART = 50_000
 
 TERM = re.compile(r"\w+")
 
@@ -225,7 +226,7 @@ def fingerprint_documents(docs: DataFrame, bitmap: bytes, ident: str = "doc_id",
     """Fingerprint of each text and of its edited text, and the likeness to that and to the next document."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(bitmap)  # SLOTS / 8 bytes
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // TEXTS_PER_PART)
     plain = docs.select(F.col(ident).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = in_order(plain, "doc_id", parts)
     kind = docs.schema[ident].dataType.simpleString()
