@@ -23,7 +23,9 @@ from __future__ import annotations
 import re
 import sys
 import types
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,10 +40,17 @@ from stargauge.session import materialize
 WINDOW = 2048
 QUANTUM = 128
 END_ID = 1
+SEGMENTS_PER_PART = 1_000_000
 #: Words whose ids a Python worker keeps; beyond this the memo starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
 
 WORD = re.compile(r"[^ \t\n\r]+")
+#: Characters that str.split takes for white space and tokenizers do not.
+ODD_BLANK = re.compile("[\x1c-\x1f]")
+#: The one letter whose lower case is longer; its ids depend on what stands behind it.
+GROWING = "\u0130"
+#: Signs that end a run of letters (quotes and angle brackets may begin something longer).
+STOPS = ".,!?;:#$%&*()[]{}+-=/\\@^_~"
 PIECE_SCHEMA = (
     "doc_id {ident}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long, source string"
@@ -54,44 +63,110 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write the 256 bytes: printable ones as themselves, others from 256 up."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class Memo(dict):
+    """Ids by word; a word not met before is looked up once, by ``learn``."""
+
+    learn = None
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.learn(word)
+        return found
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space, so that words can be encoded apart.
 
     Ids are kept as little-endian unsigned 32-bit bytes. Words met before are looked up in a memo
-    that lives as long as the Python worker.
+    that lives as long as the Python worker. Where the tokenizer lower-cases and parts letters from
+    stops (tried on ``PROBES`` when it is loaded), a word's letters are encoded once for all its
+    spellings, and runs of letters go to the merges directly.
     """
 
+    PROBES = ("The", "ELLE", "Éçeau", "größe", "ciónasta.", "it's,", "worthless!!", "Ñoño;", "naïve.", "ab.c", "x1.")
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         home = sys.modules.setdefault("_stargauge_word_memo", types.ModuleType("_stargauge_word_memo"))
         if getattr(home, "path", None) != path:
-            home.path, home.tokenizer, home.memo = path, Tokenizer.from_file(path), {}
-        self.tokenizer, self.memo = home.tokenizer, home.memo
-
-    def learn(self, words: list[str]) -> None:
-        """Encode new words, many in one call: the words' places in the joined text tell their ids apart."""
+            home.path, home.tokenizer, home.memo, home.direct = path, Tokenizer.from_file(path), Memo(), None
+        self.tokenizer, self.memo, self.letters = home.tokenizer, home.memo, byte_letters()
+        self.merge = self.tokenizer.model.tokenize
+        if home.direct is None:
+            home.direct = all(self.by_parts(w) == self.whole([w])[0] for w in self.PROBES)
+            self.memo.clear()
+        self.direct = home.direct
+        self.memo.learn = self.by_parts
+
+    def whole(self, words: list[str]) -> list[bytes]:
+        """Encode words in one call: their places in the joined text tell their ids apart."""
+        done = []
         for a in range(0, len(words), 4096):
             some = words[a : a + 4096]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            lengths = np.array([len(w) + 1 for w in some])
             starts = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.ids))
-            cuts = np.searchsorted(starts, np.cumsum(lengths))
+            cuts = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in some])) * 4
             data = np.array(found.ids, "<u4").tobytes()
-            begin = 0
-            for word, end in zip(some, (cuts * 4).tolist()):
-                self.memo[word] = data[begin:end]
-                begin = end
+            done += [data[x:y] for x, y in zip([0, *cuts.tolist()], cuts.tolist())]
+        return done
+
+    def run_of_letters(self, word: str) -> bytes | None:
+        """Ids of a run of letters; None for anything else."""
+        if not word.isalpha():
+            return None
+        if not word.isascii():
+            # The tokenizer composes first and then lower-cases each letter by itself.
+            if "\u03a3" in word or not unicodedata.is_normalized("NFC", word):
+                return None
+            word = word.lower().encode().decode("latin-1").translate(self.letters)
+        try:
+            return array("I", [t.id for t in self.merge(word)]).tobytes()
+        except Exception:
+            return None
+
+    def by_parts(self, word: str) -> bytes:
+        """Ids of a word from those of its lower-case letters and of the stops behind them."""
+        low = word
+        if word.isascii():
+            low = word.lower()
+        elif "A" <= word[0] <= "Z" and word[1] < "\x80":
+            low = word[0].lower() + word[1:]
+        core = low.rstrip(STOPS)
+        if not core or core == low or not core[-1].isalpha() or "<|" in word:
+            core = low
+        found = self.memo.get(core)
+        if found is None:
+            found = self.run_of_letters(core)
+            if found is None:
+                (found,) = self.whole([core])
+            self.memo[core] = found
+        if core == low:
+            return found
+        tail = low[len(core) :]
+        if tail not in self.memo:
+            (self.memo[tail],) = self.whole([tail])
+        return found + self.memo[tail]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [WORD.findall(x) if x else [] for x in texts]
+        split = [(WORD.findall(x) if ODD_BLANK.search(x) else x.split()) if x and GROWING not in x else [] for x in texts]
         memo = self.memo
         if len(memo) > MEMO_WORDS:
             memo.clear()
-        new = {w for words in split for w in words if w not in memo}
-        if new:
-            self.learn(list(new))
-        return [b"".join([memo[w] for w in words]) for words in split]
+        if not self.direct:
+            new = list({w for words in split for w in words if w not in memo})
+            memo.update(zip(new, self.whole(new)))
+        found = [b"".join(map(memo.__getitem__, words)) for words in split]
+        for i, x in enumerate(texts):
+            if x and GROWING in x:
+                found[i] = np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
+        return found
 
 
 def tokenized(docs: DataFrame, path: str, ident: str = "doc_id") -> DataFrame:
@@ -156,7 +231,7 @@ def shares_of(lengths: DataFrame, targets: dict[str, float] | None) -> DataFrame
     return totals.select("queue", share.alias("share"))
 
 
-def scheduled(lengths: DataFrame, targets: dict[str, float] | None, quantum: int) -> DataFrame:
+def scheduled(lengths: DataFrame, targets: dict[str, float] | None, quantum: int, total: int) -> DataFrame:
     """Segments (row, queue, start, position, length) with ``at``, their place among all tokens."""
     placed = queue_positions(lengths).join(shares_of(lengths, targets), "queue")
     first, last = F.col("position"), F.col("position") + F.col("n_tokens")
@@ -173,6 +248,7 @@ def scheduled(lengths: DataFrame, targets: dict[str, float] | None, quantum: int
         ((F.col("turn") + 0.5) / F.col("share")).alias("due"),
     )
     parts = int(lengths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, total // (quantum * SEGMENTS_PER_PART))
     dealt = segments.repartitionByRange(parts, "due", "queue").withColumn("part", F.spark_partition_id())
     dealt = materialize(dealt, "schedule")
     sums = dealt.groupBy("part").agg(F.sum("length").alias("part_tokens"))
@@ -248,7 +324,7 @@ def pack(
     tokens = tokenized(docs, path or tokenizer_path(), ident)
     lengths = tokens.select("row", "queue", "n_tokens")
     total = lengths.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    pieces = pieces_of(scheduled(lengths, targets, quantum), total, window)
+    pieces = pieces_of(scheduled(lengths, targets, quantum, total), total, window)
     listed = pieces.groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
     met = tokens.join(listed, "row").select("doc_id", "queue", "n_tokens", "ids", "pieces")
     kind = tokens.schema["doc_id"].dataType.simpleString()
