@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stargauge.llm.common import let, table
+from stargauge.session import materialize
 
 #: Fixed value: how the format writes a blank.
 BLANK = "▁"
@@ -216,9 +217,10 @@ def distinct_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text")
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids`` of every row: its words meet their encodings and are put in order."""
     content = F.coalesce(F.col(text), F.lit(""))
+    lexicon = materialize(distinct_words(docs, vocabulary, text), "words")
+    lexicon = materialize(encode_words(lexicon, vocabulary), "encoded")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(ident).alias("doc_id"), words_in(content, vocabulary).alias("words"))
     placed = rows.select("row", "doc_id", F.posexplode_outer("words").alias("at", "word"))
-    lexicon = encode_words(distinct_words(docs, vocabulary, text), vocabulary)
     met = placed.join(lexicon, "word", "left")
     ordered = met.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("parts"))
     empty = F.array().cast("array<int>")
@@ -230,8 +232,8 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, ident: str = "doc_
 def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct word of the documents: occurrences, ids, and the text its ids decode to."""
     vocabulary = load()
-    words = distinct_words(table(spark, sf_dir, "documents"), vocabulary)
-    encoded = encode_words(words, vocabulary)
+    words = materialize(distinct_words(table(spark, sf_dir, "documents"), vocabulary), "words")
+    encoded = materialize(encode_words(words, vocabulary), "encoded")
     decoded = decode(encoded, vocabulary)
     return words.join(encoded, "word").join(decoded, "word").select(
         "word", "n", "ids", F.size("ids").alias("n_pieces"), "text"
