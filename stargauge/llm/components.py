@@ -23,17 +23,24 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
         .distinct()
     )
     pairs = materialize(pairs, "component-edges")
+    before = _signature(pairs)
     while True:
         large = _star(pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))), larger_only=True)
-        small = materialize(_star(large, larger_only=False), "component-edges")
-        done = pairs.count() == small.count() and pairs.join(small, ["u", "v"], "left_anti").isEmpty()
-        pairs = small
-        if done:
+        pairs = materialize(_star(large, larger_only=False), "component-edges")
+        after = _signature(pairs)
+        if after == before:
             break
+        before = after
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
+def _signature(pairs: DataFrame) -> tuple:
+    """Number and hash sum of the (distinct) pairs: equal for equal sets, whatever their order."""
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(38, 0)"))
+    return tuple(pairs.agg(F.count(F.lit(1)), total).first())
+
+
 def _star(pairs: DataFrame, larger_only: bool) -> DataFrame:
     """Point the neighbours of each ``u`` (for small-star also ``u``) at the smallest of them all."""
     smallest = pairs.groupBy("u").agg(F.min("v").alias("m"))
