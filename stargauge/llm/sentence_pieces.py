@@ -184,11 +184,12 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for batch in batches:
             lists = batch.column(1)
             bounds = lists.offsets.to_pylist()
-            start, length, ids, scores = (lists.values.field(k).to_pylist() for k in range(4))
+            start, length, ids, scores = (lists.values.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            spans = list(zip(start.tolist(), (start + length).tolist()))
+            values = list(zip(scores.tolist(), ids.tolist()))
             found = []
             for word, a, b in zip(batch.column(0).to_pylist(), bounds, bounds[1:]):
-                edges = {(start[k], start[k] + length[k]): (scores[k], ids[k]) for k in range(a, b)}
-                found.append(merged(word, edges, byte_ids))
+                found.append(merged(word, dict(zip(spans[a:b], values[a:b])), byte_ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["word", "ids"])
 
     return graph.mapInArrow(mapped, "word string, ids array<int>")
