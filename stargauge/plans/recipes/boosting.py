@@ -14,6 +14,7 @@ from ...operators.rolling import rolling_means, rolling_name
 from ...sources.schemas import ROW_ID, require_columns
 from .base import Recipe, RecipeModel, as_doubles, keyed_table, register
 
+#: Names and order of the features.
 TIME_COLUMNS = [
     "rating_month",
     "rating_day",

@@ -28,6 +28,7 @@ def spark():
     session.stop()
 
 
+# Fixture rows that asserted numbers belong to.
 RATINGS = [
     (1, 1, 4.0, 964982703),
     (1, 2, 3.5, 964982931),
