@@ -8,9 +8,11 @@ vocabulary are merge ranks, whose sum means nothing: there the word's edges are
 their scores, as the format defines it. Characters without a piece become byte pieces. Decoding joins
 the ids back to the piece table and puts the pieces together in order.
 
-The piece table has the size of the vocabulary file and may be broadcast; words are never gathered.
+Documents get the ids of their words from the encoded words. The piece table has the size of the
+vocabulary file and may be broadcast, as may the words above a fixed share of all occurrences; other
+words are never gathered.
 
-Defined results: a null or empty text has no words; equal words are encoded once; an empty table gives
+Defined results: a null or empty text has no words; the blank put before a text is not decoded; equal words are encoded once; an empty table gives
 an empty result; words of any length are encoded whole.
 """
 
@@ -21,9 +23,12 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from stargauge.llm.common import let, table
 from stargauge.session import materialize
@@ -31,6 +36,8 @@ from stargauge.session import materialize
 #: Fixed value: how the format writes a blank.
 BLANK = "▁"
 FINE_WORDS = rf"{BLANK}*[\p{{L}}\p{{M}}]+|{BLANK}*\p{{Nd}}|{BLANK}*[^\p{{L}}\p{{M}}\p{{Nd}}{BLANK}]+|{BLANK}+"
+#: Words with at least one in so many occurrences, and at most so long, are answered in place of joined.
+FREQUENT, SHORT = 1 << 16, 64
 COARSE_WORDS = rf"{BLANK}*[^{BLANK}]+|{BLANK}+"
 
 
@@ -87,19 +94,18 @@ def words_in(text: Column, vocabulary: Vocabulary) -> Column:
 
 
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``word, edges``: every substring of each word that is a piece, as (start, length, id, score)."""
+    """The columns of ``words`` (distinct, not empty) and ``edges``: every substring that is a piece, as (start, length, id, score)."""
     pieces = piece_table(words.sparkSession, vocabulary).withColumnRenamed("piece", "part")
     starts = F.sequence(F.lit(1), F.length("word"))
     lengths = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), F.length("word") - F.col("start") + 1))
-    spans = words.select("word", F.explode(starts).alias("start")).select("word", "start", F.explode(lengths).alias("length"))
+    spans = words.select("*", F.explode(starts).alias("start")).select("*", F.explode(lengths).alias("length"))
     parts = spans.withColumn("part", F.expr("substring(word, start, length)"))
-    # One row per piece of the vocabulary file.
-    met = parts.join(F.broadcast(pieces), "part")
-    edge = F.struct((F.col("start") - 1).alias("start"), "length", "id", "score")
-    edges = met.groupBy("word").agg(F.collect_list(edge).alias("edges"))
-    return words.select("word").join(edges, "word", "left").select(
-        "word", F.coalesce("edges", F.array().cast("array<struct<start:int,length:int,id:int,score:double>>")).alias("edges")
-    )
+    # One row per piece of the vocabulary file. A word's first character stays, so that no word is lost.
+    met = parts.join(F.broadcast(pieces), "part", "left").where("id IS NOT NULL OR (start = 1 AND length = 1)")
+    edge = F.when(F.col("id").isNotNull(), F.struct((F.col("start") - 1).alias("start"), "length", "id", "score"))
+    empty = F.array().cast("array<struct<start:int,length:int,id:int,score:double>>")
+    # Words that were just made distinct lie by word already, and their edges need no shuffle.
+    return met.groupBy(*words.columns).agg(F.coalesce(F.collect_list(edge), empty).alias("edges"))
 
 
 def best_path(word: Column, edges: Column, byte_ids: tuple[int, ...], byte_score: float = -100.0) -> Column:
@@ -174,15 +180,15 @@ def merged(word: str, edges: dict[tuple[int, int], tuple[float, int]], byte_ids:
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``word, ids`` of distinct words."""
+    """The columns of ``words`` (``word`` the first of them, distinct and not empty) and ``ids``."""
     graph = lattice(words, vocabulary)
     if not vocabulary.bpe:
-        return graph.select("word", best_path(F.col("word"), F.col("edges"), vocabulary.byte_ids).alias("ids"))
+        return graph.select(*words.columns, best_path(F.col("word"), F.col("edges"), vocabulary.byte_ids).alias("ids"))
     byte_ids = vocabulary.byte_ids
 
     def mapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(1)
+            lists = batch.column(batch.num_columns - 1)
             bounds = lists.offsets.to_pylist()
             start, length, ids, scores = (lists.values.field(k).to_numpy(zero_copy_only=False) for k in range(4))
             spans = list(zip(start.tolist(), (start + length).tolist()))
@@ -190,9 +196,11 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             found = []
             for word, a, b in zip(batch.column(0).to_pylist(), bounds, bounds[1:]):
                 found.append(merged(word, dict(zip(spans[a:b], values[a:b])), byte_ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["word", "ids"])
+            kept = [*batch.columns[:-1], pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(kept, names=[*batch.schema.names[:-1], "ids"])
 
-    return graph.mapInArrow(mapped, "word string, ids array<int>")
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema.fields)
+    return graph.mapInArrow(mapped, f"{shape}, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, key: str = "word", ids: str = "ids") -> DataFrame:
@@ -216,26 +224,75 @@ def distinct_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text")
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, ids`` of every row: its words meet their encodings and are put in order."""
-    content = F.coalesce(F.col(text), F.lit(""))
-    lexicon = materialize(distinct_words(docs, vocabulary, text), "words")
-    lexicon = materialize(encode_words(lexicon, vocabulary), "encoded")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(ident).alias("doc_id"), words_in(content, vocabulary).alias("words"))
-    placed = rows.select("row", "doc_id", F.posexplode_outer("words").alias("at", "word"))
-    met = placed.join(lexicon, "word", "left")
-    ordered = met.groupBy("row", "doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("parts"))
-    empty = F.array().cast("array<int>")
-    return ordered.select(
-        "doc_id", F.flatten(F.transform("parts", lambda x: F.coalesce(x["ids"], empty))).alias("ids")
+    """``doc_id, ids, text`` of every row: its words meet their encodings in order, and ``text`` is what the ids decode to.
+
+    Frequent words are answered where the documents are; the others are sent once per document to the
+    lexicon and come back to the document's row.
+    """
+    spark = docs.sparkSession
+    words = words_in(F.coalesce(F.col(text), F.lit("")), vocabulary)
+    lexicon = materialize(encode_words(distinct_words(docs, vocabulary, text), vocabulary), "lexicon")
+    total = lexicon.agg(F.sum("n")).first()[0] or 0
+    # At most FREQUENT rows, as each has at least that share of all occurrences.
+    often = lexicon.where((F.col("n") * FREQUENT >= total) & (F.length("word") <= SHORT)).select("word", "ids").collect()
+    known = spark.sparkContext.broadcast(([r["word"] for r in often], [r["ids"] for r in often]))
+    kind = docs.schema[ident].dataType
+
+    def drafted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = pa.array(known.value[0], pa.string())
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                lists = part.column(2)
+                flat = lists.flatten()
+                found = pc.fill_null(pc.index_in(flat, frequent), -1).to_numpy(zero_copy_only=False)
+                bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+                slots, asked = [], []
+                for a, b in zip(bounds, bounds[1:]):
+                    own = found[a:b].copy()
+                    open_at = np.flatnonzero(own < 0)
+                    places: dict[str, int] = {}
+                    own[open_at] = [-1 - places.setdefault(w, len(places)) for w in flat.take(pa.array(open_at + a)).to_pylist()]
+                    slots.append(own)
+                    asked.append(list(places))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(slots, pa.list_(pa.int32())), pa.array(asked, pa.list_(pa.string()))],
+                    names=["row", "doc_id", "slots", "asked"],
+                )
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(ident).alias("doc_id"), words.alias("words"))
+    drafts = materialize(
+        rows.mapInArrow(drafted, f"row long, doc_id {kind.simpleString()}, slots array<int>, asked array<string>"), "drafts"
     )
+    asked = drafts.select("row", F.posexplode("asked").alias("place", "word"))
+    answers = asked.join(lexicon.select("word", "ids"), "word").groupBy("row").agg(
+        F.collect_list(F.struct("place", "ids")).alias("answers")
+    )
+    content = {i: p.encode() for i, p, _ in vocabulary.pieces} | {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+    pieces = spark.sparkContext.broadcast(content)  # one entry per piece
+    ident_kind = to_arrow_type(kind)
+
+    def filled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, piece = known.value[1], pieces.value
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                ids, texts = [], []
+                for slots, found in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                    answer = {-1 - x["place"]: x["ids"] for x in found or ()}
+                    ids.append([i for s in slots for i in (frequent[s] if s >= 0 else answer[s])])
+                    joined = b"".join([piece[i] for i in ids[-1]]).decode("utf-8", "replace").replace(BLANK, " ")
+                    texts.append(joined.removeprefix(" "))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).cast(ident_kind), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())],
+                    names=["doc_id", "ids", "text"],
+                )
+
+    met = drafts.select("row", "doc_id", "slots").join(answers, "row", "left").select("doc_id", "slots", "answers")
+    return met.mapInArrow(filled, f"doc_id {kind.simpleString()}, ids array<int>, text string")
 
 
 def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every distinct word of the documents: occurrences, ids, and the text its ids decode to."""
-    vocabulary = load()
-    words = materialize(distinct_words(table(spark, sf_dir, "documents"), vocabulary), "words")
-    encoded = materialize(encode_words(words, vocabulary), "encoded")
-    decoded = decode(encoded, vocabulary)
-    return words.join(encoded, "word").join(decoded, "word").select(
-        "word", "n", "ids", F.size("ids").alias("n_pieces"), "text"
-    )
+    """Ids of every document, how many they are, and the text they decode to."""
+    encoded = encode_documents(table(spark, sf_dir, "documents"), load())
+    return encoded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), "text")

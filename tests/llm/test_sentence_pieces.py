@@ -8,7 +8,7 @@ from helpers import LONG, no_documents, odd_documents
 from pyspark.sql import functions as F
 
 from stargauge.llm.sentence_pieces import (
-    COARSE_WORDS, FINE_WORDS, Vocabulary, decode, distinct_words, encode_documents, encode_words, load,
+    COARSE_WORDS, FINE_WORDS, Vocabulary, decode, distinct_words, encode_documents, encode_words, load, op2_sentence_pieces,
 )
 
 
@@ -70,3 +70,15 @@ def test_odd_rows_and_empty_table(spark, vocabulary, library):
     assert by_id[4] == library.encode(LONG)
     assert encode_documents(no_documents(spark), vocabulary).count() == 0
     assert distinct_words(docs, vocabulary).agg(F.sum("n")).first()[0] > 0
+
+
+def test_query_encodes_and_decodes_every_document(spark, library, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    for frequent in (1 << 16, 50):
+        monkeypatch.setattr("stargauge.llm.sentence_pieces.FREQUENT", frequent)
+        got = op2_sentence_pieces(spark, folder).collect()
+        assert sorted(r["doc_id"] for r in got) == sorted(texts)
+        for r in got:
+            assert r["ids"] == library.encode(texts[r["doc_id"]]) and r["n_pieces"] == len(r["ids"])
+            assert r["text"] == texts[r["doc_id"]].replace("▁", " ")
