@@ -2,11 +2,13 @@
 
 A page is read into blocks of three roles: inside an article (or main) element, chrome (menus, ads,
 forms, comments and the like, by element, ARIA role or class), and loose text that no markup claims.
-The token streams of everything outside articles are put together per host, and a suffix array
-finds the substrings of at least ``min_tokens`` tokens that occur on distinct pages. What they cover
-is boilerplate: it is taken out of loose text, whose unique runs stay, and counted for every page.
-Blocks of an article are kept even if other pages repeat them, since copies of articles are common;
-chrome is dropped even on hosts with a single page, which repeats nothing.
+The token streams of whole pages are put together per host, and a suffix array finds the substrings of
+at least ``min_tokens`` tokens that occur on distinct pages. What they cover is taken out of loose text,
+whose unique runs stay; beside an article only runs of ``min_tokens`` or more, as no shorter one could
+have been found to repeat. A block of an article goes if they cover ``BLOCK_SHARE`` of it, unless they
+cover ``COPY_SHARE`` of the whole article or would take all of its blocks: then the article is a copy of
+another one, and stays. Covered tokens that go are counted. Chrome is dropped even on hosts with a
+single page, which repeats nothing.
 
 A host's stream is cut into shards of bounded size, one suffix array each; a substring of the given
 length that occurs in two shards is found by joining its windows' hashes, so a host of any size gives
@@ -36,6 +38,8 @@ from stargauge.session import materialize
 
 MIN_TOKENS = 8
 SHARD_TOKENS = 100_000
+#: From these covered shares on a block of an article is boilerplate, and a whole article a copy.
+BLOCK_SHARE, COPY_SHARE = 0.5, 0.8
 
 #: HTML element names by what they mean for the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -140,8 +144,8 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
 
 
 def stream_of(blocks: list[tuple[int, str]]) -> list[str]:
-    """The tokens of all blocks outside articles; a line feed ends a block."""
-    return [t for role, text in blocks if role != ARTICLE for t in (*text.split(), "\n")]
+    """The tokens of all blocks; a line feed ends a block."""
+    return [t for _, text in blocks for t in (*text.split(), "\n")]
 
 
 def hashed(tokens: list[str]) -> np.ndarray:
@@ -226,7 +230,7 @@ def with_key(pages: DataFrame, ident: str) -> DataFrame:
 
 
 def host_streams(keyed: DataFrame) -> DataFrame:
-    """``key, host, stream`` (hashes of the tokens outside articles) of each distinct page."""
+    """``key, host, stream`` (hashes of the tokens) of each distinct page."""
 
     def mapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,21 +319,29 @@ def shard_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[int, np
 
 
 def main_text(page: str, starts: np.ndarray, min_tokens: int) -> tuple[str, int]:
-    """The text of one page, given where boilerplate windows start in its stream, and the tokens they cover."""
+    """The text of one page, given where repeated windows start in its stream, and the covered tokens that are not in it."""
     blocks = blocks_of(page)
     hidden = covered(starts, len(stream_of(blocks)), min_tokens)
-    article = [text for role, text in blocks if role == ARTICLE]
-    if article:
-        return "\n".join(article), int(hidden.sum())
-    at, kept = 0, []
+    spans, at = [], 0
     for role, text in blocks:
         tokens = text.split()
-        if role == LOOSE:
-            unique = [t for t, h in zip(tokens, hidden[at : at + len(tokens)]) if not h]
+        spans.append((role, text, tokens, hidden[at : at + len(tokens)]))
+        at += len(tokens) + 1
+    articles = [h for role, _, _, h in spans if role == ARTICLE]
+    shares = [h.mean() for h in articles]
+    copy = bool(articles) and (np.concatenate(articles).mean() >= COPY_SHARE or min(shares) >= BLOCK_SHARE)
+    least = min_tokens if articles else 1
+    kept, n_hidden = [], int(hidden.sum())
+    for role, text, tokens, own in spans:
+        if role == ARTICLE and (copy or own.mean() < BLOCK_SHARE):
+            kept.append(text)
+            n_hidden -= int(own.sum())
+        elif role == LOOSE:
+            edges = np.flatnonzero(np.diff(np.concatenate([[True], own, [True]])))
+            unique = [t for a, b in zip(edges[::2], edges[1::2]) if b - a >= least for t in tokens[a:b]]
             if unique:
                 kept.append(" ".join(unique))
-        at += len(tokens) + 1
-    return "\n".join(kept), int(hidden.sum())
+    return "\n".join(kept), n_hidden
 
 
 def extract_text(

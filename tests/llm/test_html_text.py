@@ -96,3 +96,18 @@ def test_odd_rows_and_empty_table(spark):
     assert [r["text"] for r in got if r["page_id"] in (1, 2)] == ["", ""]
     assert [r["n_chars"] for r in got if r["page_id"] == 3] == [len(LONG.strip())]
     assert extract_text(pages.limit(0)).count() == 0
+
+
+def test_repeats_decide_inside_and_beside_articles(spark):
+    line = "subscribe to our letter and never miss any story that we write here"
+    copied = " ".join(f"copied{i}" for i in range(40))
+    body = [" ".join(f"w{page}x{i}" for i in range(40)) for page in range(3)]
+    loose = [" ".join(f"loose{page}x{i}" for i in range(10)) for page in range(3)]
+    rows = [
+        (i, "http://h.example/a", f"<article><p>{body[i]}</p><p>{line}</p></article><div>{line}</div><div>{loose[i]}</div>") for i in range(3)
+    ]
+    rows += [(i, f"http://h.example/{i}", f"<article><p>{copied}</p><p>{line}</p></article>") for i in (7, 8)]
+    got = {r["page_id"]: r for r in extract_text(spark.createDataFrame(rows, SHAPE)).collect()}
+    for i in range(3):
+        assert got[i]["text"] == f"{body[i]}\n{loose[i]}" and got[i]["n_boilerplate"] >= 2 * len(line.split())
+    assert got[7]["text"] == got[8]["text"] == f"{copied}\n{line}"
