@@ -528,37 +528,34 @@ def fit_linear_means(spark, folder):
 
 @query
 def fit_forest(spark, folder):
-    result = _trained(spark, folder, "random_forest", n_estimators=20, max_depth=8)
+    result = _trained(spark, folder, "random_forest")
     return _metrics_of(result, spark)
 
 
 @query
 def fit_boosting(spark, folder):
-    result = _trained(spark, folder, "gradient_boosting", n_estimators=20)
+    result = _trained(spark, folder, "gradient_boosting")
     return _metrics_of(result, spark)
 
 
 @query
 def top_importances(spark, folder):
-    result = _trained(spark, folder, "random_forest", n_estimators=20, max_depth=8)
+    result = _trained(spark, folder, "random_forest")
     return rounded(
         ME.top_importances(result["model"].importances(result["recipe"].feature_columns, spark))
     )
 
 
-def _small_network(spark, rows):
+def _network(spark, rows):
     recipe = MlpRecipe().fit(rows)
     features = recipe.transform(rows).select("row_id", "rating", "features")
-    network = create_model(
-        "multi_layer_perceptron", hidden_dims=[64, 32], epochs=8, learning_rate=0.01, batch_size=128
-    )
-    return recipe, network.fit(features)
+    return recipe, create_model("multi_layer_perceptron").fit(features)
 
 
 @query
 def fit_mlp(spark, folder):
     rows = at_rest(views.prep_e(spark, folder), "prep")
-    _, model = _small_network(spark, rows)
+    _, model = _network(spark, rows)
     history = [(h["epoch"], h["train_loss"], h["val_loss"]) for h in model.history]
     return rounded(spark.createDataFrame(history, "epoch int, train_loss double, val_loss double"))
 
@@ -566,7 +563,7 @@ def fit_mlp(spark, folder):
 @query
 def score_mlp(spark, folder):
     rows = at_rest(views.prep_e(spark, folder), "prep")
-    recipe, model = _small_network(spark, rows)
+    recipe, model = _network(spark, rows)
     return rounded(model.transform(recipe.transform(rows)).select("row_id", "prediction"))
 
 
@@ -574,7 +571,7 @@ def score_mlp(spark, folder):
 def batch_score(spark, folder):
     """Recipe and network stored, loaded again, and applied to the raw ratings."""
     rows = at_rest(views.prep_e(spark, folder), "prep")
-    recipe, model = _small_network(spark, rows)
+    recipe, model = _network(spark, rows)
     path = new_scratch_path(spark, "stored-model")
     recipe.save(f"{path}/recipe")
     save_model(spark, model, f"{path}/model")
