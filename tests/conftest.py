@@ -1,14 +1,12 @@
 import os
 import sys
 
-import pandas as pd
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
 from stargauge.session import build_session  # noqa: E402
-
-SMALL = "/root/testdata/sf0.001"
+from support import PROCESSED_SCHEMA, random_processed  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -51,7 +49,6 @@ PROCESSED = [
     (4, 3, 2, 2.5, 964982707, "Comedy|Drama"),
     (5, 3, 4, 3.5, 964982708, "Action|Adventure"),
 ]
-PROCESSED_SCHEMA = "row_id long, userId long, movieId long, rating double, timestamp long, genres string"
 
 
 @pytest.fixture(scope="session")
@@ -69,26 +66,6 @@ def processed(spark):
     return spark.createDataFrame(PROCESSED, PROCESSED_SCHEMA)
 
 
-def random_processed(spark, rows=300, users=10, items=20, seed=7):
-    """Seeded random processed ratings, as (Spark frame, pandas frame)."""
-    import numpy as np
-
-    rng = np.random.default_rng(seed)
-    texts = ["Action|Adventure", "Comedy|Drama", "Action", "Drama", "Sci-Fi|Action"]
-    movie = rng.integers(1, items + 1, rows)
-    frame = pd.DataFrame(
-        {
-            "row_id": range(rows),
-            "userId": rng.integers(1, users + 1, rows),
-            "movieId": movie,
-            "rating": rng.uniform(1, 5, rows).round(1),
-            "timestamp": rng.integers(964982703, 978307200, rows),
-            "genres": [texts[m % len(texts)] for m in movie],
-        }
-    )
-    return spark.createDataFrame(frame, PROCESSED_SCHEMA), frame
-
-
 @pytest.fixture(scope="session")
 def random_rows(spark):
     return random_processed(spark)

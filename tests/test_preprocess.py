@@ -101,7 +101,7 @@ def test_provenance_keeps_one_row_per_processed_row(spark):
 def test_plan_pushes_the_filter_and_prunes_columns(spark):
     from stargauge.sources import views
 
-    from conftest import SMALL
+    from support import SMALL
 
     plan = views.prep_l(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "p_retailprice" not in plan and "l_extendedprice" not in plan

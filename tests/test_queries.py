@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from check_oracles import compare, connect
-from conftest import SMALL
+from support import SMALL
 
 ORACLES = entry_point.oracle_sql()
 WITHOUT_SQL = {

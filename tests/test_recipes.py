@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import PROCESSED_SCHEMA, random_processed
+from support import PROCESSED_SCHEMA, random_processed
 from stargauge.plans.recipes import RECIPE_BY_MODEL, BoostingRecipe, ForestRecipe, LinearRecipe, MlpRecipe, load_recipe
 from stargauge.plans.recipes.forest import attach_latent_factors, latent_factors
 from stargauge.plans.training import build_features

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import PROCESSED_SCHEMA
+from support import PROCESSED_SCHEMA
 from stargauge.operators.rolling import rolling_means
 
 

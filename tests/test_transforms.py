@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import random_processed
+from support import random_processed
 from stargauge.functions import genres as G
 from stargauge.functions import scores as S
 from stargauge.functions import timeparts as TP
