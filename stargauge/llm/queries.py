@@ -13,6 +13,7 @@ from stargauge.llm.language_id import op4_language_id
 from stargauge.llm.license_scan import op5_license_scan, oracle_sql as op5_sql
 from stargauge.llm.packing import op1_packing
 from stargauge.llm.pitman_yor import op3_lm_scoring
+from stargauge.llm.prefix_trie import op11_prefix_trie
 from stargauge.llm.quality_rules import OP8_SQL, op8_quality_rules
 from stargauge.llm.sentence_pieces import op2_sentence_pieces
 from stargauge.llm.simhash import op10_simhash
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash": op10_simhash,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {"op5_license_scan": op5_sql(), "op8_quality_rules": OP8_SQL}
