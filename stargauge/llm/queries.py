@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stargauge.llm.byte_bpe import op12_byte_bpe
 from stargauge.llm.byte_cnn import op9_quality_classifier
 from stargauge.llm.html_text import op6_html_extraction
 from stargauge.llm.imatch import op7_imatch
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash": op10_simhash,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {"op5_license_scan": op5_sql(), "op8_quality_rules": OP8_SQL}
