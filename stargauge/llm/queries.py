@@ -18,6 +18,7 @@ from stargauge.llm.prefix_trie import op11_prefix_trie
 from stargauge.llm.quality_rules import OP8_SQL, op8_quality_rules
 from stargauge.llm.sentence_pieces import op2_sentence_pieces
 from stargauge.llm.simhash import op10_simhash
+from stargauge.llm.spelling import op13_spelling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {"op5_license_scan": op5_sql(), "op8_quality_rules": OP8_SQL}
