@@ -82,9 +82,12 @@ def array_score(function: Callable[[np.ndarray], np.ndarray]) -> Callable[[Colum
 
 
 def summed_over_rows(
-    df: DataFrame, column: str, partial: Callable[[np.ndarray], np.ndarray]
+    df: DataFrame,
+    column: str,
+    partial: Callable[[np.ndarray], np.ndarray],
+    read: Callable[[pa.Array], np.ndarray] = to_matrix,
 ) -> np.ndarray:
-    """Sum over all batches of the vector ``partial(batch matrix)``.
+    """Sum over all batches of the vector ``partial(batch matrix)``; ``read`` makes the matrix of a column.
 
     Each partition sends one vector; Spark adds them up per position, so the driver receives a
     single vector whatever the number of partitions.
@@ -94,7 +97,7 @@ def summed_over_rows(
         total = None
         for batch in batches:
             if batch.num_rows:
-                part = partial(to_matrix(batch.column(0)))
+                part = partial(read(batch.column(0)))
                 total = part if total is None else total + part
         if total is not None:
             yield pa.RecordBatch.from_arrays([to_lists(total.reshape(1, -1))], ["part"])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from .moments import array_state, pair_deviations, squared_deviations
 
 
 @dataclass(frozen=True)
@@ -49,23 +50,15 @@ def column_moments(df: DataFrame, columns: list[Column]) -> Moments:
 
 
 def array_moments(df: DataFrame, column: str, expand: bool = False) -> Moments:
-    """Moments of an array column, or of its degree-2 expansion, which is never stored.
+    """Moments of an array column, or of its degree-2 expansion, whose wide rows are never built.
 
-    Two passes (mean, then squared distances from it) keep the variance exact for wide value
-    ranges.
+    One pass; deviations are taken from each batch's own mean, which keeps the variance exact for wide
+    value ranges.
     """
-    shape = V.expand_pairs if expand else (lambda x: x)
-
-    def sums(x: np.ndarray) -> np.ndarray:
-        return np.append(shape(x).sum(axis=0), len(x))
-
-    totals = V.summed_over_rows(df, column, sums)
-    if totals.size == 0:
+    state = array_state(df, column, pair_deviations if expand else squared_deviations)
+    if state is None:
         raise ValueError("cannot fit a scaler on an empty table")
-    count = int(totals[-1])
-    mean = totals[:-1] / count
-    squares = V.summed_over_rows(df, column, lambda x: ((shape(x) - mean) ** 2).sum(axis=0))
-    return _moments(count, mean.tolist(), (squares / count).tolist())
+    return _moments(state.n, state.mean.tolist(), (state.spread / state.n).tolist())
 
 
 def scaled_columns(columns: list[Column], moments: Moments) -> list[Column]:

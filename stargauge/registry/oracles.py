@@ -310,6 +310,11 @@ def sized_bias(key: str, cases: str, where: str = "") -> str:
     return sql(bias("base_pred", f"CASE {cases} END", "segment", join), "base_pred")
 
 
+LOW_RANK = """
+    SELECT userId, kind + 4 * turn AS movieId, mean * (turn + 0.7310585::double) AS rating
+    FROM (SELECT userId, movieId % 4 AS kind, avg(rating) AS mean FROM prep_e GROUP BY 1, 2),
+         (SELECT unnest(range(3)) AS turn)"""
+
 SUMMARY = ["rmse", "mae", "r2", "mape", "mse"]
 MODEL_METRICS = ["rmse", "mae", "r2", "mape"]
 
@@ -401,6 +406,38 @@ def group_columns(key: str, side: str) -> str:
     return mean + ", " + r6(f"coalesce(stddev_samp(rating) {over}, 0)", f"{side}_rating_std")
 
 
+def kfold_metrics(folds: int = 5) -> str:
+    """Least squares on the means of the other folds, from the closed form for two features."""
+
+    def means(key: str) -> str:
+        return f"""SELECT {key}, f, sum(s) FILTER (WHERE fold <> f) / nullif(sum(n) FILTER (WHERE fold <> f), 0) AS m
+                   FROM (SELECT {key}, fold, sum(rating) AS s, count(rating) AS n FROM k GROUP BY 1, 2), h GROUP BY 1, 2"""
+
+    return sql(
+        f"""SELECT cast(fold AS bigint) AS fold, {r6("sqrt(avg((rating - p) ** 2))", "rmse")},
+                   {r6("avg(abs(rating - p))", "mae")},
+                   {r6("1 - sum((rating - p) ** 2) / sum((rating - y) ** 2)", "r2")},
+                   {r6("avg(abs((rating - p) / (rating + 1e-8::double))) * 100", "mape")},
+                   {r6("avg((rating - p) ** 2)", "mse")}, count(*) AS n
+            FROM (SELECT x.fold, rating, my + b1 * (x1 - m1) + b2 * (x2 - m2) AS p, avg(rating) OVER (PARTITION BY x.fold) AS y
+                  FROM x JOIN b ON x.f = b.f WHERE x.fold = x.f) GROUP BY 1""",
+        "prep_e",
+        k=f"""SELECT *, cast('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 8) AS bigint) % {folds} AS fold FROM prep_e""",
+        h=f"SELECT unnest(range({folds})) AS f",
+        g="SELECT f, avg(rating) AS m FROM k, h WHERE fold <> f GROUP BY 1",
+        u=means("userId"),
+        i=means("movieId"),
+        x="""SELECT k.fold, g.f, rating, coalesce(u.m, g.m) AS x1, coalesce(i.m, g.m) AS x2
+             FROM k CROSS JOIN g LEFT JOIN u ON k.userId = u.userId AND g.f = u.f
+             LEFT JOIN i ON k.movieId = i.movieId AND g.f = i.f""",
+        b="""SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+                    (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2
+             FROM (SELECT f, avg(rating) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS s11, var_pop(x2) AS s22,
+                          covar_pop(x1, x2) AS s12, covar_pop(x1, rating) AS s1y, covar_pop(x2, rating) AS s2y
+                   FROM x WHERE fold <> f GROUP BY f)""",
+    )
+
+
 def with_stats(cells: str) -> str:
     return sql(
         f"""SELECT row_id, {cells} FROM prep_e r
@@ -564,13 +601,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "standard_scale": two_scaled(),
         "pairwise_interactions": pair_products(),
-        "svd_energy": sql(
-            """SELECT round(sum(m * m), 3) AS energy
-               FROM (SELECT avg(rating) AS m FROM prep_e GROUP BY userId, movieId)""",
-            "prep_e",
-        ),
-        "svd_reconstruction": sql(
-            f"SELECT userId, movieId, {r6('avg(rating)', 'rating', 4)} FROM prep_e GROUP BY 1, 2", "prep_e"
+        "svd_energy": sql("SELECT round(sum(rating * rating), 3) AS energy FROM low", "prep_e", low=LOW_RANK),
+        "svd_reconstruction": sql("SELECT userId, movieId, round(rating, 4) AS rating FROM low", "prep_e", low=LOW_RANK),
+        "factor_products": sql(
+            "SELECT userId, movieId, round(rating, 4) AS rating, round(rating, 4) AS product FROM low", "prep_e", low=LOW_RANK
         ),
         "fit_linear_means": sql(
             """SELECT 'user_mean' AS term, round(b1, 5) AS coefficient FROM b
@@ -632,6 +666,7 @@ def oracle_sql() -> dict[str, str]:
         "best_model": sql("SELECT metric, model AS best_model FROM ranked WHERE place = 1", "ranked"),
         "model_comparison": model_comparison(),
         "run_log": run_log(),
+        "kfold_metrics": kfold_metrics(),
         "overfit_ratio": sql(
             f"""SELECT model, metric, {r6("a", "train_value")}, {r6("b", "test_value")},
                        {r6("CASE WHEN abs(a) > 1e-9 THEN (b - a) / a END", "degradation")}

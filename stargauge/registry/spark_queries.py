@@ -28,6 +28,7 @@ from ..operators.provenance import kept_rows, provenance_join
 from ..operators.rolling import rolling_means
 from ..operators.split import hash_split
 from ..plans import training
+from ..plans.crossval import cross_validate_least_squares
 from ..plans.estimators import create_model, load_model, save_model
 from ..plans.recipes import BoostingRecipe, ForestRecipe, LinearRecipe, MlpRecipe, load_recipe
 from ..plans.recipes.forest import attach_latent_factors
@@ -422,30 +423,54 @@ def svd_values(spark, folder):
     return rounded(singular_value_table(svd_factors(views.prep_e(spark, folder), 20)), 3)
 
 
+def _low_rank(spark, folder):
+    """Ratings whose user x movie matrix has twelve columns and rank four: means by class, each in three sizes."""
+    means = (
+        views.prep_e(spark, folder)
+        .groupBy("userId", (F.col("movieId") % 4).alias("kind"))
+        .agg(F.avg("rating").alias("mean"))
+    )
+    turn = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("turn")
+    column = F.col("kind") + 4 * F.col("turn")
+    cells = means.select("userId", "kind", "mean", turn).select(
+        "userId", column.alias("movieId"), (F.col("mean") * (F.col("turn") + 0.7310585)).alias("rating")
+    )
+    return at_rest(cells, "low-rank")
+
+
 @query
 def svd_energy(spark, folder):
-    """All components together carry the whole squared length of the matrix."""
-    rows = at_rest(views.prep_e(spark, folder), "prep")
-    width = rows.select("movieId").distinct().count()
-    factors = svd_factors(rows, width, n_iter=1)
-    values = singular_value_table(factors)
+    """Four components carry the whole squared length of a matrix of rank four."""
+    values = singular_value_table(svd_factors(_low_rank(spark, folder), 4))
     energy = F.sum(F.col("singular_value") * F.col("singular_value"))
     return values.agg(F.round(energy, 3).alias("energy"))
 
 
 @query
 def svd_reconstruction(spark, folder):
-    """User x movie factors with all components give back every rated cell."""
-    rows = at_rest(views.prep_e(spark, folder), "prep")
-    width = rows.select("movieId").distinct().count()
-    factors = svd_factors(rows, width, n_iter=1)
+    """User x movie factors of rank four give back every rated cell of a matrix of rank four."""
+    rows = _low_rank(spark, folder)
+    factors = svd_factors(rows, 4)
     users = factors.user_factors.withColumnRenamed("factors", "u")
     movies = factors.movie_factors.withColumnRenamed("factors", "v")
-    joined = attach(attach(ST.user_item_mean(rows), users, "userId"), movies, "movieId")
-    products = array_score(lambda x: (x[:, :width] * x[:, width:]).sum(axis=1))(F.concat("u", "v"))
+    joined = attach(attach(rows, users, "userId"), movies, "movieId")
+    products = array_score(lambda x: (x[:, :4] * x[:, 4:]).sum(axis=1))(F.concat("u", "v"))
     return rounded(joined.select("userId", "movieId", products.alias("rating")), 4)
 
 
+@query
+def factor_products(spark, folder):
+    """The forest recipe's factor columns, multiplied per row, on a matrix of rank four."""
+    rows = _low_rank(spark, folder).withColumns(
+        {"row_id": F.col("userId") * 12 + F.col("movieId"), "timestamp": F.lit(0), "genres": F.lit("a")}
+    )
+    model = ForestRecipe(n_svd_components=4, vocabulary=["a"]).fit(rows)
+    at = {name: i for i, name in enumerate(model.feature_columns)}
+    pairs = [F.col("features")[at[f"user_factor_{i}"]] * F.col("features")[at[f"movie_factor_{i}"]] for i in range(4)]
+    product = sum(pairs[1:], pairs[0])
+    return rounded(model.transform(rows).select("userId", "movieId", "rating", product.alias("product")), 4)
+
+
 # --- recipes -------------------------------------------------------------------------------------
 
 
@@ -649,9 +674,16 @@ def threshold_check(spark, folder):
 
 @query
 def kfold_metrics(spark, folder):
-    """Recipe and model are fitted anew for each fold."""
+    """Least squares on leave-one-fold-out means, five folds."""
+    rows = at_rest(views.prep_e(spark, folder), "prep")
+    return rounded(cross_validate_least_squares(rows, 5, features="means"))
+
+
+@query
+def kfold_recipe(spark, folder):
+    """The linear recipe's features with statistics from the other folds, five folds."""
     rows = at_rest(views.prep_e(spark, folder), "prep")
-    return rounded(training.cross_validate(rows, "linear_regression", 5))
+    return rounded(cross_validate_least_squares(rows, 5, features="recipe"))
 
 
 @query

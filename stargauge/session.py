@@ -105,3 +105,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint that keeps partitioning and row order (unlike a parquet table)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def colocated(df: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """``df`` dealt by ``keys`` and checkpointed so that later joins on the keys leave its rows in place.
+
+    The partitioning is only remembered when the plan is final, so this one plan is not re-planned.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(parts, *keys).checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

@@ -147,3 +147,46 @@ def test_hash_split_is_stable(random_rows):
 def test_folds_cover_all_rows(random_rows):
     counts = hash_folds(random_rows[0], 5).groupBy("fold").count().collect()
     assert {r["fold"] for r in counts} == {0, 1, 2, 3, 4} and sum(r["count"] for r in counts) == 300
+
+
+def test_svd_over_many_tiles_equals_one(spark, monkeypatch):
+    from stargauge.operators import factors as T
+
+    df, frame = random_processed(spark, rows=900, users=40, items=25, seed=11)
+    dense = frame.pivot_table(values="rating", index="userId", columns="movieId", fill_value=0.0)
+    exact = np.linalg.svd(dense.to_numpy(), compute_uv=False)
+    monkeypatch.setattr(T, "BLOCK_KEYS", 4)
+    monkeypatch.setattr(T, "TILE_CELLS", 8)
+    monkeypatch.setattr(T, "FAN_IN", 2)
+    cells = T.user_item_mean(df)
+    tiles = T.cut_tiles(cells)
+    assert tiles.movies.blocks >= 7 and tiles.users.blocks >= 10
+    result = svd_factors(df, 25)
+    assert np.allclose(result.singular_values, exact[:25], atol=1e-8)
+    users = {r["userId"]: np.array(r["factors"]) for r in result.user_factors.collect()}
+    movies = {r["movieId"]: np.array(r["factors"]) for r in result.movie_factors.collect()}
+    for r in cells.collect():
+        assert abs(users[r["userId"]] @ movies[r["movieId"]] - r["rating"]) < 1e-7
+
+
+def test_tiles_stay_where_they_are(spark, monkeypatch):
+    from stargauge.operators import factors as T
+
+    df, _ = random_processed(spark, rows=200, users=12, items=8)
+    monkeypatch.setattr(T, "TILE_CELLS", 20)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tiles = T.cut_tiles(T.user_item_mean(df))
+        product = T._product(tiles, T._random_basis(tiles.movies, 3, 1), 3, to_users=True)
+        plan = product._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tile_side = plan.split("SortMergeJoin")[1].split("Scan ExistingRDD")[0]
+    assert tiles.users.blocks > 1 and "Exchange" not in tile_side
+
+
+def test_svd_leaves_out_rows_without_keys(spark):
+    rows = [(1, 1, 2.0), (1, 2, 3.0), (2, 1, 4.0), (None, 1, 5.0), (2, None, 5.0), (3, 2, None)]
+    result = svd_factors(spark.createDataFrame(rows, "userId long, movieId long, rating double"), 2)
+    exact = np.linalg.svd(np.array([[2.0, 3.0], [4.0, 0.0], [0.0, 0.0]]), compute_uv=False)
+    assert np.allclose(result.singular_values, exact) and result.user_factors.count() == 3
