@@ -9,6 +9,8 @@ from ..functions import genres as G
 from ..functions import timeparts as TP
 
 PREFERENCE_EPSILON = 1e-6
+#: Genres that recipes with a column per genre accept.
+MOST_COLUMNS = 10_000
 
 
 def sample_std(column: str = "rating") -> Column:
@@ -133,8 +135,14 @@ def genre_vocabulary(df: DataFrame) -> DataFrame:
 
 
 def collect_vocabulary(df: DataFrame) -> list[str]:
-    """The sorted vocabulary as a list: no longer than the feature row it widens."""
-    return sorted(row["genre"] for row in genre_vocabulary(df).collect())
+    """The sorted vocabulary as a list, for recipes with a column per genre.
+
+    More than ``MOST_COLUMNS`` genres are an error: the sparse recipe keeps its vocabulary in a table.
+    """
+    found = sorted(row["genre"] for row in genre_vocabulary(df).limit(MOST_COLUMNS + 1).collect())
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} genres: use SparseRecipe, which has no column per genre")
+    return found
 
 
 def group_transform(df: DataFrame, key: str, mean_name: str, std_name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from .boosting import BoostingRecipe, BoostingRecipeModel
 from .forest import ForestRecipe, ForestRecipeModel
 from .linear import LinearRecipe, LinearRecipeModel
 from .mlp import MlpRecipe, MlpRecipeModel
+from .sparse import SparseRecipe, SparseRecipeModel
 
 RECIPE_BY_MODEL: dict[str, type[Recipe]] = {
     "linear_regression": LinearRecipe,
@@ -25,5 +26,7 @@ __all__ = [
     "MlpRecipeModel",
     "Recipe",
     "RecipeModel",
+    "SparseRecipe",
+    "SparseRecipeModel",
     "load_recipe",
 ]

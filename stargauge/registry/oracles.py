@@ -224,6 +224,38 @@ def linear_features() -> str:
     )
 
 
+GENRE_ROWS = "SELECT row_id, movieId, unnest(list_distinct(string_split(genres, '|'))) AS genre FROM prep_e"
+
+
+def genre_places() -> str:
+    return sql(
+        """SELECT r.row_id, coalesce(string_agg(cast(place AS varchar), ',' ORDER BY place), '') AS places
+           FROM prep_e r LEFT JOIN t ON r.row_id = t.row_id LEFT JOIN v ON t.genre = v.genre GROUP BY 1""",
+        "prep_e",
+        t=GENRE_ROWS,
+        v="""SELECT genre, row_number() OVER (ORDER BY genre) - 1 AS place
+             FROM (SELECT DISTINCT genre FROM t WHERE movieId % 2 = 0)""",
+    )
+
+
+def sparse_features() -> str:
+    names = [n for n in MEAN_NAMES if not n.startswith("genre_")]
+    weighted = " + ".join(f"{i + 1} * {n}" for i, n in enumerate(names))
+    squares = " + ".join(f"{n} * {n}" for n in names)
+    return sql(
+        f"""SELECT sc.row_id, (SELECT count(*) FROM v) + {len(names)} AS width, {len(names)} + e.n AS entries,
+                   round({weighted} + e.w, 4) AS weighted_sum, round({squares} + e.s, 4) AS square_sum
+            FROM sc JOIN e ON sc.row_id = e.row_id""",
+        "prep_e", **MEAN_FEATURES, **scaled(names, "base"),
+        t=GENRE_ROWS,
+        v="""SELECT genre, row_number() OVER (ORDER BY genre) AS place,
+                    1 / sqrt(count(*) / (SELECT count(*) FROM prep_e) * (1 - count(*) / (SELECT count(*) FROM prep_e))) AS weight
+             FROM t GROUP BY 1""",
+        e=f"""SELECT row_id, count(*) AS n, sum(({len(names)} + place) * weight) AS w, sum(weight * weight) AS s
+              FROM t JOIN v ON t.genre = v.genre GROUP BY 1""",
+    )
+
+
 def forest_features() -> str:
     flags = ", ".join(r6(f"cast({token(g)} AS double)", f"genre_{g}") for g in GENRES)
     return sql(
@@ -620,6 +652,13 @@ def oracle_sql() -> dict[str, str]:
                         (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s""",
         ),
         "recipe_mlp": mlp_features(),
+        "vocabulary_table": sql(
+            """SELECT genre, cast(row_number() OVER (ORDER BY genre) - 1 AS integer) AS place, count(*) AS n
+               FROM (SELECT unnest(list_distinct(string_split(genres, '|'))) AS genre FROM prep_l) GROUP BY 1""",
+            "prep_l",
+        ),
+        "genre_places": genre_places(),
+        "recipe_sparse": sparse_features(),
         "recipe_linear": linear_features(),
         "recipe_forest_stats": forest_features(),
         "recipe_boosting": boosting_features(),

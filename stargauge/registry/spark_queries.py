@@ -16,6 +16,7 @@ from ..operators import metrics as ME
 from ..operators import scale as SC
 from ..operators import segments as SG
 from ..operators import stats as ST
+from ..operators import vocabulary as VO
 from ..operators.attach import (
     attach,
     attach_zero,
@@ -30,7 +31,7 @@ from ..operators.split import hash_split
 from ..plans import training
 from ..plans.crossval import cross_validate_least_squares
 from ..plans.estimators import create_model, load_model, save_model
-from ..plans.recipes import BoostingRecipe, ForestRecipe, LinearRecipe, MlpRecipe, load_recipe
+from ..plans.recipes import BoostingRecipe, ForestRecipe, LinearRecipe, MlpRecipe, SparseRecipe, load_recipe
 from ..plans.recipes.forest import attach_latent_factors
 from ..plans.scoring import prediction_output, score
 from ..session import at_rest, materialize, new_scratch_path
@@ -482,6 +483,38 @@ def recipe_mlp(spark, folder):
     return flat_features(model.transform(rows), ["row_id", "rating"], names)
 
 
+@query
+def vocabulary_table(spark, folder):
+    """Every genre's place and rows, without a list on the driver."""
+    return VO.vocabulary_table(views.prep_l(spark, folder))
+
+
+@query
+def genre_places(spark, folder):
+    """Each row's genres as places in the vocabulary of the cheaper half; other genres drop out."""
+    rows = views.prep_e(spark, folder)
+    vocabulary = VO.vocabulary_table(rows.filter("movieId % 2 = 0"))
+    placed = VO.add_genre_places(rows, vocabulary)
+    return placed.select("row_id", F.concat_ws(",", F.col("places").cast("array<string>")).alias("places"))
+
+
+@query
+def recipe_sparse(spark, folder):
+    """Sparse features per row: entries, their weighted sum and squared length."""
+    rows = at_rest(views.prep_e(spark, folder), "prep")
+    model = SparseRecipe().fit(rows)
+    entries = model.prepare(rows).select("row_id", "features.*")
+    terms = F.zip_with("indices", "values", lambda i, v: (i + 1) * v)
+    total = lambda array: F.aggregate(array, F.lit(0.0), lambda a, v: a + v)
+    return rounded(
+        entries.select(
+            "row_id", F.col("size").alias("width"), F.size("indices").alias("entries"),
+            total(terms).alias("weighted_sum"), total(F.transform("values", lambda v: v * v)).alias("square_sum"),
+        ),
+        4,
+    )
+
+
 @query
 def recipe_linear(spark, folder):
     rows = at_rest(views.prep_e(spark, folder), "prep")

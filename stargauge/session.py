@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -78,8 +79,8 @@ def drop_scratch(spark: SparkSession) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a parquet table in the shared folder and read it back.
+def materialize(df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and read it back, as ``schema`` if given.
 
     Cuts the lineage, survives lost executors, and gives the optimizer the real table size, so
     that broadcast decisions rest on measured bytes.
@@ -87,7 +88,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def at_rest(df: DataFrame, label: str, key: str | None = "userId") -> DataFrame:
