@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import SIZE
+
 MAPE_EPSILON = 1e-8
 METRICS = ("rmse", "mae", "r2", "mape")
 LOWER_IS_BETTER = ("rmse", "mae", "mape", "mse")
@@ -159,10 +161,12 @@ def prediction_summary(
     prediction: str = "predicted_rating",
     actual: str = "actual_rating",
     error: str = "error",
+    exact: bool = True,
 ) -> DataFrame:
     """Summary row of a scored table; the actual and error figures only when those columns exist.
 
-    Reads ``results`` more than once: pass a table at rest rather than a scoring plan.
+    The exact median reads ``results`` several times: pass a table at rest rather than a scoring plan. With
+    ``exact=False`` it comes from a sketch in the same single pass, with the error that ``rank_error`` states.
     """
     exprs = [
         F.count(F.lit(1)).alias("total_predictions"),
@@ -180,6 +184,11 @@ def prediction_summary(
             F.avg(error).alias("mean_absolute_error"),
             F.sqrt(F.avg(F.col(error) * F.col(error))).alias("rmse"),
         ]
+    if not exact:
+        value = F.col(prediction).cast("double")
+        sketch = F.kll_sketch_agg_double(F.when(~F.isnan(value), value), SIZE)
+        half = F.when(F.kll_sketch_get_n_double("_s") > 0, F.kll_sketch_get_quantile_double("_s", F.lit(0.5)))
+        return results.agg(*exprs, sketch.alias("_s")).withColumn("predicted_median", half).drop("_s")
     median = exact_median(results, prediction)
     return results.agg(*exprs).withColumn("predicted_median", F.lit(median).cast("double"))
 

@@ -12,6 +12,23 @@ def rolling_name(size: int) -> str:
     return f"user_rating_rolling_{size}"
 
 
+def recent_ratings(
+    df: DataFrame,
+    reach: int = 10,
+    key: str = "userId",
+    order: tuple[str, ...] = ("timestamp", ROW_ID),
+    columns: tuple[str, ...] = ("movieId", "rating"),
+) -> DataFrame:
+    """The last ``reach`` rows of every user: what later rows need to continue the rolling means.
+
+    Spark keeps at most ``reach`` rows of a user in each task before it shuffles, so a long history does not
+    travel.
+    """
+    latest = Window.partitionBy(key).orderBy(*[F.desc(c) for c in order])
+    numbered = df.select(key, *order, *columns).withColumn("_back", F.row_number().over(latest))
+    return numbered.filter(F.col("_back") <= reach).drop("_back")
+
+
 def rolling_means(
     df: DataFrame,
     sizes: tuple[int, ...] = (5, 10),
@@ -19,6 +36,7 @@ def rolling_means(
     order: tuple[str, ...] = ("timestamp", ROW_ID),
     value: str = "rating",
     exclude_current: bool = False,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Mean of the user's last ``n`` ratings for each ``n`` in ``sizes``; fewer rows are allowed.
 
@@ -29,9 +47,17 @@ def rolling_means(
     into consecutive ranges of (user, order), which are written once, and each range gets the few
     rows of the user before it as a lead-in, whatever the length of the history. Rows without a user
     form a history of their own.
+
+    ``history`` holds ratings (``key``, ``order`` and ``value``) that take part in the windows and are not
+    returned; at equal times they come before the rows of ``df`` unless the rest of the order says otherwise.
     """
     require_columns(df, [key, value, *order], "the rating table")
-    return _ranged(df, sizes, key, order, value, exclude_current)
+    if history is None:
+        return _ranged(df, sizes, key, order, value, exclude_current)
+    past = history.select(key, *order, value).withColumn("_past", F.lit(True))
+    both = df.withColumn("_past", F.lit(False)).unionByName(past, allowMissingColumns=True)
+    rolled = _ranged(both, sizes, key, order, value, exclude_current)
+    return rolled.filter(~F.col("_past")).drop("_past")
 
 
 def _windowed(df, sizes, keys, order, value, exclude_current):

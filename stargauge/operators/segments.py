@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import genres as G
 from ..functions import timeparts as TP
+from .quantiles import approximate_quantiles
 from .stats import group_sizes
 
 # Segment names and the row counts that bound them.
@@ -56,6 +57,16 @@ def bias_by_engagement(predictions: DataFrame, bounds: dict[str, int], top: str)
     return _bias_by_count(predictions, None, "userId", bounds, top)
 
 
+def engagement_bounds(predictions: DataFrame, shares: dict[str, float], key: str = "userId") -> dict[str, int]:
+    """Upper bounds (exclusive) of levels, so that about the given share of users lies below each.
+
+    The sizes of all users go into one sketch of bounded size.
+    """
+    sizes = group_sizes(predictions, key, "_size")
+    found = approximate_quantiles(sizes, "_size", shares)
+    return {name: int(value) + 1 for name, value in found.items() if value is not None}
+
+
 def bias_by_popularity(
     predictions: DataFrame,
     history: DataFrame | None = None,

@@ -4,6 +4,7 @@ from .base import Recipe, RecipeModel, load_recipe
 from .boosting import BoostingRecipe, BoostingRecipeModel
 from .forest import ForestRecipe, ForestRecipeModel
 from .linear import LinearRecipe, LinearRecipeModel
+from .means import MeansRecipe, MeansRecipeModel
 from .mlp import MlpRecipe, MlpRecipeModel
 from .sparse import SparseRecipe, SparseRecipeModel
 
@@ -22,6 +23,8 @@ __all__ = [
     "ForestRecipeModel",
     "LinearRecipe",
     "LinearRecipeModel",
+    "MeansRecipe",
+    "MeansRecipeModel",
     "MlpRecipe",
     "MlpRecipeModel",
     "Recipe",

@@ -60,6 +60,14 @@ class RecipeModel(Model):
         """The joins and narrow features: the part worth storing when features are read often."""
         raise NotImplementedError
 
+    def prepare_after(self, dataset: DataFrame, past: DataFrame | None = None) -> DataFrame:
+        """:meth:`prepare` for rows that continue ``past`` rows, by default what was kept of the fitted ones."""
+        return self.prepare(dataset)
+
+    def continued(self, dataset: DataFrame) -> DataFrame:
+        """:meth:`transform` for rows that come after the fitted ones, so that histories go on."""
+        return self.finish(self.prepare_after(dataset))
+
     def finish(self, prepared: DataFrame) -> DataFrame:
         """Row-local widening of what :meth:`prepare` returned."""
         return prepared

@@ -10,7 +10,8 @@ from ...functions import timeparts as TP
 from ...operators import stats as ST
 from ...operators.attach import attach
 from ...operators.encode import add_movie_age
-from ...operators.rolling import rolling_means, rolling_name
+from ...operators.rolling import recent_ratings, rolling_means, rolling_name
+from ...session import materialize
 from ...sources.schemas import ROW_ID, require_columns
 from .base import Recipe, RecipeModel, as_doubles, keyed_table, register
 
@@ -75,6 +76,9 @@ class BoostingRecipe(Recipe):
             movie_avg_rating=F.avg("rating"),
             movie_rating_std=ST.sample_std(),
         )
+        tables = {"user": user, "movie": movie}
+        if ROW_ID in dataset.columns:
+            tables["history"] = materialize(recent_ratings(dataset, max(ROLLING_SIZES)), "boosting-history")
         with_age = "movie_age" in dataset.columns or "movie_year" in dataset.columns
         names = TIME_COLUMNS + (["movie_age"] if with_age else [])
         names = names + ST.weekday_columns() + ST.month_columns()
@@ -83,7 +87,7 @@ class BoostingRecipe(Recipe):
         return BoostingRecipeModel(
             names + SIZE_AND_MEAN_COLUMNS,
             vocabulary,
-            {"user": user, "movie": movie},
+            tables,
             {"exclude_current": self.exclude_current, "with_age": with_age},
         )
 
@@ -92,7 +96,15 @@ class BoostingRecipe(Recipe):
 class BoostingRecipeModel(RecipeModel):
     recipe = "gradient_boosting"
 
-    def prepare(self, dataset: DataFrame) -> DataFrame:
+    def prepare_after(self, dataset: DataFrame, past: DataFrame | None = None) -> DataFrame:
+        """Rolling means go on from each user's last ratings; ratings that occur again count once."""
+        past = self.tables.get("history") if past is None else past
+        if past is None:
+            return self.prepare(dataset)
+        keys = ["userId", "movieId", "timestamp"]
+        return self.prepare(dataset, past.join(dataset.select(*keys).distinct(), keys, "left_anti"))
+
+    def prepare(self, dataset: DataFrame, history: DataFrame | None = None) -> DataFrame:
         """Needs ``rating`` and ``row_id``: the rolling means order ties by row id."""
         require_columns(dataset, ["rating", "timestamp", ROW_ID], "the processed table")
         # The narrow movie columns come first. The window and the join with the wide user table are
@@ -101,6 +113,7 @@ class BoostingRecipeModel(RecipeModel):
             attach(dataset, self.tables["movie"], "movieId"),
             ROLLING_SIZES,
             exclude_current=self.state["exclude_current"],
+            history=history,
         )
         if self.state["with_age"]:
             rolled = add_movie_age(rolled)

@@ -37,17 +37,20 @@ def score(
     recipe: RecipeModel | Recipe,
     model: Any,
     add_actual_rating: bool = True,
+    carry_history: bool = True,
 ) -> DataFrame:
     """Score ratings that carry ``row_id``; without ``movies`` they must hold genres already.
 
-    A recipe that is not fitted yet is fitted on the rows to score.
+    A recipe that is not fitted yet is fitted on the rows to score. A fitted one continues the histories of
+    known users unless ``carry_history`` is false.
     """
     require_columns(ratings, [ROW_ID], "ratings")
     processed = preprocess(ratings, movies) if movies is not None else ratings
     if isinstance(recipe, Recipe):
         processed = at_rest(processed, "to-score")
-        recipe = recipe.fit(processed)
-    return prediction_output(model.transform(recipe.transform(processed)), add_actual_rating)
+        recipe, carry_history = recipe.fit(processed), False
+    features = recipe.continued(processed) if carry_history else recipe.transform(processed)
+    return prediction_output(model.transform(features), add_actual_rating)
 
 
 def score_files(

@@ -7,11 +7,14 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.metrics import METRICS, regression_metrics
 from ..operators.split import hash_folds, train_test
 from ..session import materialize
+from ..sources.readers import read_table
 from ..sources.schemas import ROW_ID
+from ..sources.writers import write_runs
 from .estimators import create_model, load_model, save_model
 from .recipes import RECIPE_BY_MODEL, load_recipe
 
@@ -25,13 +28,14 @@ def build_features(
     seed: int = 42,
     fit_scope: str = "train",
     keys: list[str] | None = None,
+    carry_history: bool = False,
     **recipe_params: Any,
 ):
     """(recipe model, train features, test features).
 
     ``fit_scope='train'`` fits the recipe on the training side only and prepares each side by itself,
-    so histories (rolling means) start anew on the test side. ``'all'`` fits on every row, prepares
-    the whole table once and then splits it.
+    so histories (rolling means) start anew on the test side, unless ``carry_history`` lets the training
+    rows take part in them. ``'all'`` fits on every row, prepares the whole table once and then splits it.
     """
     if fit_scope not in ("train", "all"):
         raise ValueError(f"fit_scope must be 'train' or 'all', not {fit_scope!r}")
@@ -45,11 +49,11 @@ def build_features(
     train, test = train_test(processed, test_size, seed, keys)
     fitted = recipe.fit(train)
 
-    def features(side: DataFrame, label: str) -> DataFrame:
-        narrow = materialize(fitted.prepare(side).select(*keep), f"{model_name}-{label}")
-        return fitted.finish(narrow)
+    def features(prepared: DataFrame, label: str) -> DataFrame:
+        return fitted.finish(materialize(prepared.select(*keep), f"{model_name}-{label}"))
 
-    return fitted, features(train, "train"), features(test, "test")
+    after = fitted.prepare_after(test, train) if carry_history else fitted.prepare(test)
+    return fitted, features(fitted.prepare(train), "train"), features(after, "test")
 
 
 def train_and_evaluate(
@@ -94,30 +98,64 @@ def evaluate_stored(
     seed: int = 42,
     keys: list[str] | None = None,
 ) -> dict[str, dict[str, Any]]:
-    """Measure stored models on the split they were trained with.
+    """Measure stored models on the split they were trained with, all of them in one read of each side.
 
     Each name is loaded from ``folder/<name>/{recipe,model}``; a missing one is recorded as
     ``{"error": "Model not found"}``, any other failure by its message, and the rest go on.
     """
     spark = processed.sparkSession
-    results: dict[str, dict[str, Any]] = {}
-    train, test = train_test(processed, test_size, seed, keys)
+    loaded: dict[str, tuple] = {}
+    errors: dict[str, str] = {}
     for name in model_names:
         try:
             recipe = load_recipe(spark, f"{folder}/{name}/recipe")
-            model = load_model(spark, f"{folder}/{name}/model")
+            loaded[name] = recipe, load_model(spark, f"{folder}/{name}/model")
         except FileNotFoundError:
-            results[name] = {"error": "Model not found"}
+            errors[name] = "Model not found"
+    sides = dict(zip(("train", "test"), train_test(processed, test_size, seed, keys)))
+    try:
+        found = _measured_together(sides, loaded)
+    except Exception:
+        # One of them fails: the others are measured without it.
+        found = {}
+        for name, pair in loaded.items():
+            try:
+                found |= _measured_together(sides, {name: pair})
+            except Exception as error:
+                errors[name] = f"{type(error).__name__}: {error}"
+    results: dict[str, dict[str, Any]] = {}
+    for name in model_names:
+        if name in errors:
+            results[name] = {"error": errors[name]}
             continue
-        try:
-            metrics = measured(model, recipe.transform(train), recipe.transform(test))
-            samples = {f"{side}_samples": values["n"] for side, values in metrics.items()}
-            results[name] = {"metrics": metrics, "features": len(recipe.feature_columns), **samples}
-        except Exception as error:
-            results[name] = {"error": f"{type(error).__name__}: {error}"}
+        metrics = found[name]
+        samples = {f"{side}_samples": values["n"] for side, values in metrics.items()}
+        results[name] = {"metrics": metrics, "features": len(loaded[name][0].feature_columns), **samples}
     return results
 
 
+def _measured_together(sides: dict[str, DataFrame], loaded: dict[str, tuple]) -> dict[str, dict[str, Any]]:
+    """Metrics of all models on all sides, each side read once: predictions become columns, then rows."""
+    if not loaded:
+        return {}
+    scored = None
+    for side, rows in sides.items():
+        for i, (recipe, model) in enumerate(loaded.values()):
+            kept = [F.col(f"`{c}`") for c in rows.columns]
+            predicted = model.transform(recipe.transform(rows))
+            rows = predicted.select(*kept, F.col("prediction").alias(f"_prediction_{i}"))
+        cells = [
+            F.struct(F.lit(name).alias("model"), F.col(f"_prediction_{i}").alias("prediction"))
+            for i, name in enumerate(loaded)
+        ]
+        part = rows.select(F.lit(side).alias("split"), "rating", F.inline(F.array(*cells)))
+        scored = part if scored is None else scored.unionByName(part)
+    found: dict[str, dict[str, Any]] = {name: {} for name in loaded}
+    for row in regression_metrics(scored, by=["model", "split"]).collect():
+        found[row["model"]][row["split"]] = {m: row[m] for m in (*METRICS, "mse", "n")}
+    return found
+
+
 def run_models(
     processed: DataFrame, jobs: dict[str, dict[str, Any]], **shared: Any
 ) -> dict[str, dict[str, Any]]:
@@ -177,7 +215,12 @@ def run_log(
 
 
 def append_run_log(log: DataFrame, path: str) -> None:
-    log.write.mode("append").parquet(path)
+    """Add runs to the log; a run written again replaces its rows, so a repeated job leaves no doubles."""
+    write_runs(log, path)
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, StructType.fromDDL(RUN_LOG))
 
 
 def cross_validate(

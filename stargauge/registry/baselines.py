@@ -26,12 +26,8 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
     users = train.groupBy("userId").agg(F.avg("rating").alias("user_mean"))
     movies = train.groupBy("movieId").agg(F.avg("rating").alias("movie_mean"))
     overall = train.agg(F.avg("rating").alias("global_mean"))
-    # The overall mean is one row by construction.
-    joined = (
-        rows.join(users, "userId", "left")
-        .join(movies, "movieId", "left")
-        .join(F.broadcast(overall), how="left", on=F.lit(True))
-    )
+    joined = rows.join(users, "userId", "left").join(movies, "movieId", "left")
+    joined = joined.withColumn("global_mean", overall.scalar())
     user = F.coalesce("user_mean", "global_mean")
     movie = F.coalesce("movie_mean", "global_mean")
     blend = S.clip(user + movie - F.col("global_mean"))

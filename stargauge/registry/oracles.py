@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from .formula import forward_pass
+
 # The genres that occur in the test tables, sorted.
 GENRES = [
     "anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large",
@@ -342,6 +344,60 @@ def sized_bias(key: str, cases: str, where: str = "") -> str:
     return sql(bias("base_pred", f"CASE {cases} END", "segment", join), "base_pred")
 
 
+def network_scores(select: str) -> str:
+    return sql(select, "prep_e", **MEAN_FEATURES, **scaled(MEAN_NAMES, "base"), **forward_pass(MEAN_NAMES, "sc"))
+
+
+def carried(where: str, *uses: str, **extra: str) -> str:
+    cells = ", ".join(r6(rolling(n, 0), f"user_rating_rolling_{n}") for n in (5, 10))
+    return sql(f"SELECT row_id, user_rating_rolling_5, user_rating_rolling_10 FROM w WHERE {where}", *uses,
+               w=f"SELECT *, {cells} FROM {uses[0]}", **extra)
+
+
+STUMP_NAMES = ["rating_hour", "rating_dayofweek", "rating_month", "num_genres"]
+#: Every split between neighbouring values of a feature, the best one first.
+STUMP = {
+    "t": f"""SELECT row_id, rating, unnest(['rating_hour', 'rating_dayofweek', 'rating_month', 'num_genres']) AS feature,
+                    unnest([{HOUR}, {WEEKDAY}, {MONTH}, len(list_distinct(string_split(genres, '|')))]) AS x FROM prep_e""",
+    "c": "SELECT feature, x, count(*) AS n, sum(rating) AS s FROM t GROUP BY 1, 2",
+    "l": """SELECT feature, x, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER p - sum(n) OVER w AS nr,
+                   sum(s) OVER p - sum(s) OVER w AS sr
+            FROM c WINDOW w AS (PARTITION BY feature ORDER BY x), p AS (PARTITION BY feature)""",
+    "best": """SELECT feature, nl, sl, nr, sr FROM l WHERE nl >= 2 AND nr >= 2
+               ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1""",
+}
+
+
+def evaluated() -> str:
+    """Least squares on one and on two means, by their closed forms, measured on both sides."""
+    rows = " UNION ALL ".join(
+        f"SELECT model, split || '_{m}' AS key, round({m}, 5) AS value FROM m" for m in [*SUMMARY, "n"]
+    )
+    return sql(
+        f"""SELECT 'stored' AS run, model, 'metric' AS kind, key, value, cast(NULL AS varchar) AS text FROM ({rows})
+            UNION ALL SELECT 'stored', model, 'param', 'features', features, NULL
+            FROM (VALUES ('both_means', 2.0::double), ('user_mean', 1.0::double)) AS f(model, features)
+            UNION ALL SELECT 'stored', model, 'status', key, NULL, text
+            FROM (VALUES ('both_means', 'ok', NULL), ('user_mean', 'ok', NULL),
+                         ('never_stored', 'error', 'Model not found')) AS s(model, key, text)""",
+        "base_pred",
+        s="""SELECT avg(rating) AS my, avg(user_mean) AS m1, avg(movie_mean) AS m2, var_pop(user_mean) AS s11,
+                    var_pop(movie_mean) AS s22, covar_pop(user_mean, movie_mean) AS s12,
+                    covar_pop(user_mean, rating) AS s1y, covar_pop(movie_mean, rating) AS s2y
+             FROM base_pred WHERE split = 'train'""",
+        b="""SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+                    (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, s1y / s11 AS b0 FROM s""",
+        p="""SELECT 'both_means' AS model, split, rating, my + b1 * (user_mean - m1) + b2 * (movie_mean - m2) AS prediction
+             FROM base_pred, b
+             UNION ALL SELECT 'user_mean', split, rating, my + b0 * (user_mean - m1) FROM base_pred, b""",
+        m="""SELECT model, split, sqrt(avg((rating - prediction) ** 2)) AS rmse, avg(abs(rating - prediction)) AS mae,
+                    1 - sum((rating - prediction) ** 2) / sum((rating - y) ** 2) AS r2,
+                    avg(abs((rating - prediction) / (rating + 1e-8::double))) * 100 AS mape,
+                    avg((rating - prediction) ** 2) AS mse, count(*)::double AS n
+             FROM (SELECT *, avg(rating) OVER (PARTITION BY model, split) AS y FROM p) GROUP BY 1, 2""",
+    )
+
+
 LOW_RANK = """
     SELECT userId, kind + 4 * turn AS movieId, mean * (turn + 0.7310585::double) AS rating
     FROM (SELECT userId, movieId % 4 AS kind, avg(rating) AS mean FROM prep_e GROUP BY 1, 2),
@@ -672,6 +728,51 @@ def oracle_sql() -> dict[str, str]:
                                    THEN 'test' ELSE 'train' END AS split FROM ratings_e""",
             "ratings_e",
         ),
+        "fit_stump": sql(
+            """SELECT round(sl / nl, 6) AS prediction, cast(nl AS bigint) AS n, round(sl / nl, 6) AS mean_rating FROM best
+               UNION ALL SELECT round(sr / nr, 6), cast(nr AS bigint), round(sr / nr, 6) FROM best""",
+            "prep_e", **STUMP,
+        ),
+        "top_importances": sql(
+            f"""SELECT feature, CASE WHEN feature = (SELECT feature FROM best) THEN 1.0::double ELSE 0.0::double END AS importance
+                FROM (SELECT unnest({STUMP_NAMES}) AS feature)""",
+            "prep_e", **STUMP,
+        ),
+        "score_mlp": network_scores("SELECT row_id, round(prediction, 5) AS prediction FROM net"),
+        "batch_score": network_scores(
+            """SELECT round(p, 5) AS predicted_rating, userId, movieId, timestamp, r.rating AS actual_rating,
+                      round(abs(p - r.rating), 5) AS error, r.row_id AS original_index
+               FROM (SELECT row_id, least(greatest(prediction, 0.5), 5.0) AS p FROM net) n JOIN prep_e r ON n.row_id = r.row_id"""
+        ),
+        "rolling_carried": carried(
+            "timestamp >= (SELECT (min(timestamp) + max(timestamp)) // 2 FROM prep_e)", "prep_e"
+        ),
+        "rolling_test_side": carried("split = 'test'", "split_e"),
+        "row_index": sql(
+            "SELECT userId, movieId, rating, timestamp, row_number() OVER (ORDER BY row_id) - 1 AS row_id FROM ratings_e",
+            "ratings_e",
+        ),
+        "evaluate_stored": evaluated(),
+        "run_log_rewritten": " UNION ALL ".join(
+            f"SELECT '{run}' AS run, * EXCLUDE (run) FROM ({run_log()})" for run in ("first", "second", "third")
+        ),
+        "metrics_file": sql(
+            """SELECT run, model, split, metric, round(value, 6) AS value
+               FROM metric_rows, (SELECT unnest(['first', 'second']) AS run)""",
+            "metric_rows",
+        ),
+        "sketched_quantiles": "SELECT 'q' || i AS name, true AS close FROM (SELECT unnest(range(1, 10)) AS i)",
+        "bias_by_engagement_thirds": sql(
+            bias(
+                "base_pred",
+                "CASE WHEN size <= low THEN 'low' WHEN size <= medium THEN 'medium' ELSE 'high' END",
+                "segment",
+                """LEFT JOIN (SELECT userId, count(*) AS size FROM base_pred GROUP BY 1) s ON r.userId = s.userId
+                   CROSS JOIN (SELECT quantile_disc(size, 1 / 3) AS low, quantile_disc(size, 2 / 3) AS medium
+                               FROM (SELECT count(*) AS size FROM base_pred GROUP BY userId)) q""",
+            ),
+            "base_pred",
+        ),
         "prediction_output": sql(PREDICTION_OUTPUT, "base_pred"),
         "head_predictions": sql(
             f"""SELECT userId, movieId, predicted_rating, actual_rating, error, original_index
@@ -730,8 +831,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bias_by_popularity": sized_bias(
             "movieId",
-            """WHEN coalesce(size, 0) < 10 THEN 'unknown' WHEN size < 100 THEN 'niche'
-               WHEN size < 1000 THEN 'cult' WHEN size <= 5000 THEN 'popular' ELSE 'blockbuster'""",
+            """WHEN coalesce(size, 0) < 60 THEN 'unknown' WHEN size < 70 THEN 'niche'
+               WHEN size < 80 THEN 'cult' WHEN size < 90 THEN 'popular' ELSE 'blockbuster'""",
             "WHERE split = 'train'",
         ),
         "bias_by_genre": sql(

@@ -13,6 +13,7 @@ from ..functions import scores as S
 from ..functions.vectors import array_score
 from ..operators import encode as EN
 from ..operators import metrics as ME
+from ..operators import quantiles as QU
 from ..operators import scale as SC
 from ..operators import segments as SG
 from ..operators import stats as ST
@@ -27,18 +28,19 @@ from ..operators.factors import singular_value_table, svd_factors
 from ..operators.preprocess import drop_sentinel, filter_counts, preprocess, table_profile
 from ..operators.provenance import kept_rows, provenance_join
 from ..operators.rolling import rolling_means
-from ..operators.split import hash_split
+from ..operators.split import hash_split, train_test
 from ..plans import training
 from ..plans.crossval import cross_validate_least_squares
 from ..plans.estimators import create_model, load_model, save_model
-from ..plans.recipes import BoostingRecipe, ForestRecipe, LinearRecipe, MlpRecipe, SparseRecipe, load_recipe
+from ..plans.recipes import BoostingRecipe, ForestRecipe, LinearRecipe, MeansRecipe, MlpRecipe, SparseRecipe, load_recipe
 from ..plans.recipes.forest import attach_latent_factors
 from ..plans.scoring import prediction_output, score
 from ..session import at_rest, materialize, new_scratch_path
 from ..sources import views
-from ..sources.readers import read_movies_csv, read_ratings_csv
-from ..sources.writers import read_feature_table, write_feature_table, write_table
+from ..sources.readers import read_movies_csv, read_ratings_csv, read_ratings_with_row_id
+from ..sources.writers import read_feature_table, write_feature_table, write_metrics, write_table
 from . import baselines as B
+from .formula import FORMULA_WIDTHS, formula_network
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -596,51 +598,93 @@ def fit_boosting(spark, folder):
     return _metrics_of(result, spark)
 
 
+def _stump(spark, folder):
+    """One tree of depth one on time parts and the number of genres."""
+    names = ["rating_hour", "rating_dayofweek", "rating_month", "num_genres"]
+    rows = EN.add_num_genres(EN.add_time_features(views.prep_e(spark, folder)))
+    stored = materialize(EN.features_array(rows, names).select("features", "rating"), "stump")
+    params = {"n_estimators": 1, "max_depth": 1, "max_features": "all", "bootstrap": False}
+    return names, stored, create_model("random_forest", **params).fit(stored)
+
+
 @query
-def top_importances(spark, folder):
-    result = _trained(spark, folder, "random_forest")
-    return rounded(
-        ME.top_importances(result["model"].importances(result["recipe"].feature_columns, spark))
-    )
+def fit_stump(spark, folder):
+    """The two sides of the best split: what the tree predicts there, and for how many rows."""
+    _, rows, model = _stump(spark, folder)
+    sides = model.transform(rows).groupBy(F.round("prediction", 6).alias("prediction"))
+    return sides.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("rating"), 6).alias("mean_rating"))
 
 
-def _network(spark, rows):
-    recipe = MlpRecipe().fit(rows)
-    features = recipe.transform(rows).select("row_id", "rating", "features")
-    return recipe, create_model("multi_layer_perceptron").fit(features)
+@query
+def top_importances(spark, folder):
+    names, _, model = _stump(spark, folder)
+    return rounded(ME.top_importances(model.importances(names, spark)))
 
 
 @query
 def fit_mlp(spark, folder):
     rows = at_rest(views.prep_e(spark, folder), "prep")
-    _, model = _network(spark, rows)
+    features = MlpRecipe().fit(rows).transform(rows).select("row_id", "rating", "features")
+    model = create_model("multi_layer_perceptron").fit(features)
     history = [(h["epoch"], h["train_loss"], h["val_loss"]) for h in model.history]
     return rounded(spark.createDataFrame(history, "epoch int, train_loss double, val_loss double"))
 
 
+def _stored_network(spark, folder):
+    """Rows, and the stored recipe and network with weights from a formula, so that SQL can follow them."""
+    rows = at_rest(views.prep_e(spark, folder), "prep")
+    path = new_scratch_path(spark, "stored-model")
+    recipe = MlpRecipe().fit(rows)
+    recipe.save(f"{path}/recipe")
+    save_model(spark, formula_network([len(recipe.feature_columns), *FORMULA_WIDTHS]), f"{path}/model")
+    return rows, load_recipe(spark, f"{path}/recipe"), load_model(spark, f"{path}/model")
+
+
 @query
 def score_mlp(spark, folder):
-    rows = at_rest(views.prep_e(spark, folder), "prep")
-    recipe, model = _network(spark, rows)
-    return rounded(model.transform(recipe.transform(rows)).select("row_id", "prediction"))
+    """A stored network applied to stored features."""
+    rows, recipe, model = _stored_network(spark, folder)
+    return rounded(model.transform(recipe.transform(rows)).select("row_id", "prediction"), 5)
 
 
 @query
 def batch_score(spark, folder):
     """Recipe and network stored, loaded again, and applied to the raw ratings."""
+    _, recipe, model = _stored_network(spark, folder)
+    return rounded(score(views.ratings_e(spark, folder), views.movies(spark, folder), recipe, model), 5)
+
+
+@query
+def rolling_carried(spark, folder):
+    """The boosting recipe fitted on earlier ratings goes on with the later ones."""
     rows = at_rest(views.prep_e(spark, folder), "prep")
-    recipe, model = _network(spark, rows)
-    path = new_scratch_path(spark, "stored-model")
-    recipe.save(f"{path}/recipe")
-    save_model(spark, model, f"{path}/model")
-    return rounded(
-        score(
-            views.ratings_e(spark, folder),
-            views.movies(spark, folder),
-            load_recipe(spark, f"{path}/recipe"),
-            load_model(spark, f"{path}/model"),
-        )
+    ends = rows.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b")).first()
+    middle = (ends["a"] + ends["b"]) // 2
+    model = BoostingRecipe(vocabulary=["new"]).fit(rows.filter(F.col("timestamp") < middle))
+    features = model.continued(rows.filter(F.col("timestamp") >= middle))
+    at = [(n, model.feature_columns.index(n)) for n in ("user_rating_rolling_5", "user_rating_rolling_10")]
+    return rounded(features.select("row_id", *[F.col("features")[i].alias(n) for n, i in at]))
+
+
+@query
+def rolling_test_side(spark, folder):
+    """Rolling means of the test side, in which the training side takes part."""
+    rows = at_rest(views.prep_e(spark, folder), "prep")
+    _, _, test = training.build_features(
+        rows, "gradient_boosting", carry_history=True, vocabulary=["new"]
     )
+    names = BoostingRecipe(vocabulary=["new"]).fit(rows.limit(1)).feature_columns
+    at = [(n, names.index(n)) for n in ("user_rating_rolling_5", "user_rating_rolling_10")]
+    return rounded(test.select("row_id", *[F.col("features")[i].alias(n) for n, i in at]))
+
+
+@query
+def row_index(spark, folder):
+    """Dense row ids in file order, assigned while scanning CSV files written in event order."""
+    path = new_scratch_path(spark, "indexed")
+    ordered = views.ratings_e(spark, folder).repartitionByRange("row_id").sortWithinPartitions("row_id")
+    write_table(ordered.select(*RATING_COLUMNS), path, "csv")
+    return read_ratings_with_row_id(spark, path)
 
 
 # --- evaluation ----------------------------------------------------------------------------------
@@ -662,6 +706,18 @@ def prediction_summary(spark, folder):
     return rounded(ME.prediction_summary(results))
 
 
+@query
+def sketched_quantiles(spark, folder):
+    """Are the ranks of sketched quantiles as close as stated, per genre text and over all?"""
+    rows = materialize(B.blend_predictions(spark, folder), "blend")
+    parts = QU.quantile_sketches(rows, "prediction", ["genres"])
+    whole = QU.quantiles(QU.merged_sketches(parts), {f"q{i}": i / 10 for i in range(1, 10)}).first().asDict()
+    share = [F.avg((F.col("prediction") <= F.lit(v)).cast("double")).alias(n) for n, v in whole.items()]
+    ranks = rows.agg(*share)
+    cells = [F.struct(F.lit(n).alias("name"), (F.abs(F.col(n) - i / 10) < 3 * QU.rank_error()).alias("close")) for i, n in enumerate(whole, 1)]
+    return ranks.select(F.inline(F.array(*cells)))
+
+
 @query
 def regression_metrics(spark, folder):
     return rounded(ME.regression_metrics(B.blend_predictions(spark, folder)))
@@ -721,12 +777,37 @@ def kfold_recipe(spark, folder):
 
 @query
 def evaluate_stored(spark, folder):
-    """A stored model measured on its split again, and one that was never stored."""
+    """Two stored models measured on their split in one read of each side, and one that was never stored."""
     rows = at_rest(views.prep_e(spark, folder), "prep")
     models = new_scratch_path(spark, "models")
-    training.run_models(rows, {"linear_regression": {}}, save_to=models)
-    results = training.evaluate_stored(rows, models, ["linear_regression", "random_forest"])
-    return rounded(training.run_log(spark, results, "stored"))
+    train, _ = train_test(rows)
+    for name, keys in {"both_means": ("userId", "movieId"), "user_mean": ("userId",)}.items():
+        recipe = MeansRecipe(keys).fit(train)
+        recipe.save(f"{models}/{name}/recipe")
+        save_model(spark, create_model("linear_regression").fit(recipe.transform(train)), f"{models}/{name}/model")
+    results = training.evaluate_stored(rows, models, ["both_means", "user_mean", "never_stored"])
+    return rounded(training.run_log(spark, results, "stored"), 5)
+
+
+@query
+def run_log_rewritten(spark, folder):
+    """Three runs in one log, one of them written twice: its rows are there once."""
+    log = run_log(spark, folder)
+    path = new_scratch_path(spark, "log")
+    for run in ("first", "second", "first", "third"):
+        training.append_run_log(log.withColumn("run", F.lit(run)), path)
+    return training.read_run_log(spark, path)
+
+
+@query
+def metrics_file(spark, folder):
+    """Metrics as JSON, written twice by one run and once by another, read back."""
+    path = new_scratch_path(spark, "metrics")
+    rows = B.metric_rows(spark, folder).select("model", "split", "metric", "value")
+    for run in ("first", "first", "second"):
+        write_metrics(rows.withColumn("run", F.lit(run)), path)
+    kinds = "model string, split string, metric string, value double, run string"
+    return rounded(spark.read.schema(kinds).json(path))
 
 
 # --- segments ------------------------------------------------------------------------------------
@@ -746,9 +827,18 @@ def bias_by_engagement(spark, folder):
 
 @query
 def bias_by_popularity(spark, folder):
-    """Popularity counted in the training side only."""
+    """Popularity counted in the training side only; bounds that split the movies into all five classes."""
     rows = B.blend_predictions(spark, folder)
-    return rounded(SG.bias_by_popularity(rows, rows.filter("split = 'train'")))
+    bounds = {"unknown": 60, "niche": 70, "cult": 80, "popular": 90}
+    return rounded(SG.bias_by_popularity(rows, rows.filter("split = 'train'"), bounds))
+
+
+@query
+def bias_by_engagement_thirds(spark, folder):
+    """Engagement levels that a sketch of the users' sizes cuts into thirds."""
+    rows = materialize(B.blend_predictions(spark, folder), "blend")
+    bounds = SG.engagement_bounds(rows, {"low": 1 / 3, "medium": 2 / 3})
+    return rounded(SG.bias_by_engagement(rows, bounds, "high"))
 
 
 @query

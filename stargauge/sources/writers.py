@@ -59,9 +59,18 @@ def feature_names_flat(table: DataFrame, feature_columns: list[str]) -> DataFram
     return table.select(*flat, "rating")
 
 
+def write_runs(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Rows of runs (column ``run``): a run that is there already is replaced, others stay."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run")
+    writer.format(fmt).save(path)
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Metrics rows as JSON lines."""
-    metrics.write.mode("overwrite").json(path)
+    """Metrics rows as JSON lines; rows with a ``run`` replace those of the same run, others everything."""
+    if "run" in metrics.columns:
+        write_runs(metrics, path, "json")
+    else:
+        metrics.write.mode("overwrite").json(path)
 
 
 def plain_values(value: Any) -> Any:
