@@ -1,0 +1,160 @@
+"""Histories that go on, sketches, joint evaluation, and sinks that can be written again."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stargauge.operators import metrics as ME
+from stargauge.operators import quantiles as QU
+from stargauge.operators import segments as SG
+from stargauge.operators.rolling import recent_ratings, rolling_means, rolling_name
+from stargauge.operators.split import train_test
+from stargauge.plans import training
+from stargauge.plans.estimators import create_model, save_model
+from stargauge.plans.recipes import BoostingRecipe, MeansRecipe, load_recipe
+from stargauge.plans.scoring import score
+from stargauge.registry.formula import formula_network
+from stargauge.sources.writers import write_metrics
+from support import PROCESSED_SCHEMA, random_processed
+
+ROLLED = [rolling_name(5), rolling_name(10)]
+
+
+def rolled_features(frame, model):
+    at = [(n, model.feature_columns.index(n)) for n in ROLLED]
+    rows = frame.select("row_id", *[F.col("features")[i].alias(n) for n, i in at]).collect()
+    return {r["row_id"]: (round(r[ROLLED[0]], 9), round(r[ROLLED[1]], 9)) for r in rows}
+
+
+def whole_window(rows):
+    return {r["row_id"]: (round(r[ROLLED[0]], 9), round(r[ROLLED[1]], 9)) for r in rolling_means(rows).collect()}
+
+
+@pytest.fixture(scope="module")
+def rated(spark):
+    return random_processed(spark, rows=500, users=7, items=15, seed=21)[0]
+
+
+def test_recent_ratings_are_the_last_of_each_user(spark, rated):
+    frame = rated.toPandas().sort_values(["userId", "timestamp", "row_id"])
+    want = set(frame.groupby("userId").tail(3)["row_id"])
+    assert {r["row_id"] for r in recent_ratings(rated, 3).collect()} == want
+
+
+def test_later_rows_go_on_where_the_fitted_ones_ended(spark, rated, tmp_path):
+    middle = rated.agg(F.expr("percentile(timestamp, 0.6)").cast("long")).first()[0]
+    earlier, later = rated.filter(F.col("timestamp") <= middle), rated.filter(F.col("timestamp") > middle)
+    BoostingRecipe().fit(earlier).save(str(tmp_path / "r"))
+    model = load_recipe(spark, str(tmp_path / "r"))
+    want = whole_window(rated)
+    got = rolled_features(model.continued(later), model)
+    assert got and all(got[k] == want[k] for k in got)
+    alone = rolled_features(model.transform(later), model)
+    assert alone == whole_window(later) and alone != got
+
+
+def test_rows_of_the_history_count_once(spark, rated):
+    model = BoostingRecipe().fit(rated)
+    assert rolled_features(model.continued(rated), model) == whole_window(rated)
+
+
+def test_test_side_sees_the_training_rows(spark, rated):
+    model, _, test = training.build_features(rated, "gradient_boosting", carry_history=True)
+    want = whole_window(rated)
+    got = rolled_features(test, model)
+    assert len(got) > 50 and all(got[k] == want[k] for k in got)
+    _, _, anew = training.build_features(rated, "gradient_boosting")
+    assert rolled_features(anew, model) == whole_window(train_test(rated)[1])
+
+
+def test_score_carries_the_history(spark, rated):
+    class RollingMean:
+        def __init__(self, recipe):
+            self.at = recipe.feature_columns.index(ROLLED[0])
+
+        def transform(self, df):
+            return df.withColumn("prediction", F.col("features")[self.at])
+
+    first, second = rated.filter("timestamp <= 970000000"), rated.filter("timestamp > 970000000")
+    recipe = BoostingRecipe().fit(first)
+    want = whole_window(rated)
+    for carry, rows in ((True, want), (False, whole_window(second))):
+        got = score(second, None, recipe, RollingMean(recipe), carry_history=carry).collect()
+        assert all(abs(r["predicted_rating"] - rows[r["original_index"]][0]) < 1e-9 for r in got)
+
+
+def test_sketches_keep_their_stated_error(spark):
+    rows = spark.range(200_000).select((F.xxhash64("id") % 1_000_000).cast("double").alias("v"), (F.col("id") % 9).alias("g"))
+    values = np.sort(rows.toPandas()["v"].to_numpy())
+    parts = QU.quantile_sketches(rows, "v", ["g"], size=800)
+    got = QU.quantiles(QU.merged_sketches(parts, size=800), {str(i): i / 20 for i in range(1, 20)}).first().asDict()
+    for name, value in got.items():
+        rank = np.searchsorted(values, value, side="right") / len(values)
+        assert abs(rank - int(name) / 20) < 3 * QU.rank_error(800)
+
+
+def test_sketches_leave_out_missing_values(spark):
+    rows = spark.createDataFrame([(1.0,), (None,), (math.nan,), (5.0,), (2.0,)], "v double")
+    assert QU.approximate_quantiles(rows, "v", {"m": 0.5}) == {"m": 2.0}
+    assert QU.approximate_quantiles(rows.filter("v is null"), "v", {"m": 0.5}) == {"m": None}
+
+
+def test_summary_in_one_pass(spark, rated):
+    rows = rated.select(F.col("rating").alias("predicted_rating"))
+    exact, quick = ME.prediction_summary(rows).first(), ME.prediction_summary(rows, exact=False).first()
+    assert quick.asDict().keys() == exact.asDict().keys()
+    assert abs(quick["predicted_median"] - exact["predicted_median"]) <= 0.1
+
+
+def test_engagement_bounds_cut_users_into_thirds(spark):
+    sizes = spark.createDataFrame([(u,) for u in range(30) for _ in range(u + 1)], "userId long")
+    assert SG.engagement_bounds(sizes, {"low": 1 / 3, "medium": 2 / 3}) == {"low": 11, "medium": 21}
+
+
+def test_stored_models_are_measured_together(spark, rated, tmp_path):
+    train, test = train_test(rated)
+    for name, keys in {"a": ("userId",), "b": ("userId", "movieId")}.items():
+        recipe = MeansRecipe(keys).fit(train)
+        recipe.save(str(tmp_path / name / "recipe"))
+        save_model(spark, create_model("linear_regression").fit(recipe.transform(train)), str(tmp_path / name / "model"))
+    found = training.evaluate_stored(rated, str(tmp_path), ["b", "missing", "a"])
+    assert list(found) == ["b", "missing", "a"] and found["missing"] == {"error": "Model not found"}
+    for name in ("a", "b"):
+        alone = training.evaluate_stored(rated, str(tmp_path), [name])[name]
+        assert found[name]["test_samples"] == test.count()
+        for side in ("train", "test"):
+            assert found[name]["metrics"][side] == pytest.approx(alone["metrics"][side])
+
+
+def test_a_failing_model_does_not_stop_the_others(spark, rated, tmp_path):
+    train, _ = train_test(rated)
+    recipe = MeansRecipe().fit(train)
+    for name in ("good", "bad"):
+        recipe.save(str(tmp_path / name / "recipe"))
+    save_model(spark, create_model("linear_regression").fit(recipe.transform(train)), str(tmp_path / "good" / "model"))
+    save_model(spark, formula_network([7, 6, 4, 1]), str(tmp_path / "bad" / "model"))
+    found = training.evaluate_stored(rated, str(tmp_path), ["bad", "good"])
+    assert "error" in found["bad"] and "metrics" in found["good"]
+
+
+def test_a_run_written_again_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for value in (1.0, 2.0):
+        for run in ("7", "x"):
+            training.append_run_log(spark.createDataFrame([(run, "m", "metric", "k", value, None)], training.RUN_LOG), path)
+    assert sorted((r["run"], r["value"]) for r in training.read_run_log(spark, path).collect()) == [("7", 2.0), ("x", 2.0)]
+    with pytest.raises(FileNotFoundError):
+        training.read_run_log(spark, str(tmp_path / "none"))
+    for value in (1.0, 3.0):
+        write_metrics(spark.createDataFrame([("r", value)], "run string, value double"), str(tmp_path / "json"))
+    assert [tuple(r) for r in spark.read.schema("run string, value double").json(str(tmp_path / "json")).collect()] == [("r", 3.0)]
+
+
+def test_means_recipe_needs_known_keys(spark, rated):
+    with pytest.raises(ValueError):
+        MeansRecipe(("title",))
+    model = MeansRecipe(("userId",)).fit(rated)
+    new = spark.createDataFrame([(1, 999, 1, 2.0, 0, "a")], PROCESSED_SCHEMA)
+    assert abs(model.transform(new).first()["features"][0] - rated.agg(F.avg("rating")).first()[0]) < 1e-9
