@@ -2,22 +2,22 @@
 
 A page is read into blocks of three roles: inside an article (or main) element, chrome (menus, ads,
 forms, comments and the like, by element, ARIA role or class), and loose text that no markup claims.
-The token streams of whole pages are put together per host, and a suffix array finds the substrings of
-at least ``min_tokens`` tokens that occur on distinct pages. What they cover is taken out of loose text,
-whose unique runs stay; beside an article only runs of ``min_tokens`` or more, as no shorter one could
-have been found to repeat. A block of an article goes if they cover ``BLOCK_SHARE`` of it, unless they
-cover ``COPY_SHARE`` of the whole article or would take all of its blocks: then the article is a copy of
-another one, and stays. Covered tokens that go are counted. Chrome is dropped even on hosts with a
-single page, which repeats nothing.
-
-A host's stream is cut into shards of bounded size, one suffix array each; a substring of the given
-length that occurs in two shards is found by joining its windows' hashes, so a host of any size gives
-the same result as one suffix array over all of it. (Covering by repeated substrings of at least k
-tokens is the same as covering by repeated windows of k tokens.)
+Blocks of an article are the text, and chrome is dropped. The token streams of whole pages are put together
+per host, and a suffix array finds the substrings of at least ``min_tokens`` tokens that occur on distinct
+pages. What they cover is taken out of loose text, whose unique runs stay, be they short or beside an article.
+
+A class or id may say less than an element: an article in a wrapper with a chrome class, or with one of its
+own, counts where the page has no other; and a page with nothing but text in such wrappers keeps it as
+loose text. An article inside an article that a class marks as chrome (a reader's comment) is dropped.
+
+A host's stream is cut into shards of bounded size, one suffix array each. A loose substring that its own
+shard does not repeat is looked up among the windows of the host's other shards, so a host of any size gives
+the same result as one suffix array over all of it. (Covering by repeated substrings of at least k tokens is
+the same as covering by repeated windows of k tokens; so suffixes are told apart by their first k tokens.)
 
 Defined results: a null or empty page has an empty text; a null url is the host ``""``; rows that are
 equal in key, url and html count as one page; other columns are not read; an empty table gives an
-empty result.
+empty result. Tokens are compared by 32-bit hashes, so only windows of k equal hashes could be mistaken.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -37,9 +38,7 @@ from stargauge.llm.common import table
 from stargauge.session import materialize
 
 MIN_TOKENS = 8
-SHARD_TOKENS = 100_000
-#: From these covered shares on a block of an article is boilerplate, and a whole article a copy.
-BLOCK_SHARE, COPY_SHARE = 0.5, 0.8
+SHARD_TOKENS = 1_000_000
 
 #: HTML element names by what they mean for the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,31 +68,48 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[\s_-]+")
 LOOSE, ARTICLE, DROPPED = 0, 1, 2
+#: Until the page is read: an article that a class speaks against, and text that only a class drops.
+DOUBTED, BY_CLASS = 3, 4
 
 
 def role_of(name: str, attributes: str, outer: int) -> int:
     """The role of an element's text, given that of the element around it."""
-    if outer == DROPPED or name in CHROME or (name == "header" and outer != ARTICLE):
+    if outer == DROPPED or name in CHROME or (name == "header" and outer not in (ARTICLE, DOUBTED)):
         return DROPPED
-    role = ARTICLE if name in ("article", "main") else outer
+    role, marked = outer, False
+    if name in ("article", "main"):
+        role = DOUBTED if outer in (BY_CLASS, DOUBTED) else ARTICLE
     if "=" in attributes:
         for m in ATTRIBUTE.finditer(attributes):
             kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if kind == "role":
                 if value.strip() in CHROME_ROLES:
                     return DROPPED
-                role = ARTICLE if value.strip() in ("main", "article") else role
+                role = ARTICLE if value.strip() in ("main", "article") and role == LOOSE else role
             elif kind == "itemprop":
-                role = ARTICLE if value.strip() == "articlebody" else role
-            elif not CHROME_WORDS.isdisjoint(PART.split(value)) and name not in ("html", "body", "article", "main"):
-                return DROPPED
-    return role
+                role = ARTICLE if value.strip() == "articlebody" and role == LOOSE else role
+            elif not CHROME_WORDS.isdisjoint(PART.split(value)):
+                marked = True
+    if not marked or name in ("html", "body", "main"):
+        return role
+    if outer in (ARTICLE, DOUBTED):
+        return DROPPED
+    return DOUBTED if name == "article" else BY_CLASS
+
+
+def settled(blocks: list[tuple[int, str]]) -> list[tuple[int, str]]:
+    """Blocks with the doubtful roles decided by what else the page has."""
+    roles = {role for role, _ in blocks}
+    doubted = DROPPED if ARTICLE in roles else ARTICLE
+    by_class = DROPPED if roles & {ARTICLE, DOUBTED, LOOSE} else LOOSE
+    final = {DOUBTED: doubted, BY_CLASS: by_class}
+    return [(final.get(role, role), text) for role, text in blocks]
 
 
 def blocks_of(page: str) -> list[tuple[int, str]]:
     """Role and text of each block with text, in page order."""
     found: list[tuple[int, str]] = []
-    texts: tuple[list[str], list[str], list[str]] = ([], [], [])
+    texts: tuple[list[str], ...] = ([], [], [], [], [])
     stack: list[tuple[str, int]] = []
     role, at, end = LOOSE, 0, len(page)
 
@@ -140,7 +156,7 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                 role = role_of(name, m[3] or "", role)
                 stack.append((name, role))
     flush()
-    return found
+    return settled(found)
 
 
 def stream_of(blocks: list[tuple[int, str]]) -> list[str]:
@@ -148,36 +164,36 @@ def stream_of(blocks: list[tuple[int, str]]) -> list[str]:
     return [t for _, text in blocks for t in (*text.split(), "\n")]
 
 
+def loose_spans(blocks: list[tuple[int, str]]) -> list[int]:
+    """Where the loose blocks start and end in the stream of a page."""
+    spans, at = [], 0
+    for role, text in blocks:
+        n = len(text.split())
+        if role == LOOSE:
+            spans += [at, at + n]
+        at += n + 1
+    return spans
+
+
 def hashed(tokens: list[str]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(t) for t in tokens], np.uint64)
+    digest = xxhash.xxh32_intdigest
+    return np.array([digest(t) for t in tokens], np.uint32)
+
 
+def prefix_ranks(tokens: np.ndarray, k: int) -> np.ndarray:
+    """Ranks of all suffixes by their first ``k`` tokens, by doubling the tokens compared.
 
-def suffix_levels(tokens: np.ndarray) -> list[np.ndarray]:
-    """Ranks of all suffixes by their first 1, 2, 4, ... tokens, until no two are equal."""
+    The last doubling overlaps, so that exactly ``k`` tokens count; suffixes shorter than that come first.
+    """
     n = len(tokens)
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
-    levels, step = [rank], 1
-    while rank.max(initial=0) < n - 1 and step < n:
+    rank, known = np.unique(tokens, return_inverse=True)[1].astype(np.int64), 1
+    while known < k:
+        step = min(known, k - known)
         later = np.zeros(n, np.int64)
-        later[: n - step] = rank[step:] + 1
+        later[: max(0, n - step)] = rank[step:] + 1
         rank = np.unique(rank * (n + 1) + later, return_inverse=True)[1].astype(np.int64)
-        levels.append(rank)
-        step *= 2
-    return levels
-
-
-def neighbour_lcp(levels: list[np.ndarray], order: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of each suffix in ``order`` and the one after it."""
-    n = len(order)
-    a, b = order[:-1].copy(), order[1:].copy()
-    length = np.zeros(max(0, n - 1), np.int64)
-    for k in range(len(levels) - 1, -1, -1):
-        inside = np.maximum(a, b) + (1 << k) <= n
-        same = inside.copy()
-        same[inside] = levels[k][a[inside]] == levels[k][b[inside]]
-        a, b, length = a + (same << k), b + (same << k), length + (same << k)
-    return length
+        known += step
+    return rank
 
 
 def repeated_starts(streams: list[np.ndarray], pages: list[int], min_tokens: int) -> list[np.ndarray]:
@@ -191,12 +207,13 @@ def repeated_starts(streams: list[np.ndarray], pages: list[int], min_tokens: int
     joined = np.full(ends[-1], -1, np.int64)
     joined[np.delete(np.arange(ends[-1]), ends - 1)] = ids
     joined[ends - 1] = ids.max(initial=0) + 1 + np.arange(len(ends))
-    levels = suffix_levels(joined)
-    order = np.argsort(levels[-1], kind="stable")
-    groups = np.concatenate([[0], np.flatnonzero(neighbour_lcp(levels, order) < min_tokens) + 1])
+    rank = prefix_ranks(joined, min_tokens)
+    order = np.argsort(rank, kind="stable")
+    groups = np.concatenate([[0], np.flatnonzero(np.diff(rank[order])) + 1])
     stream_at = np.repeat(np.arange(len(streams)), lengths + 1)
     owner = np.array(pages, np.int64)[stream_at[order]]
     distinct = np.minimum.reduceat(owner, groups) != np.maximum.reduceat(owner, groups)
+    # Equal ranks of suffixes that reach into a separator mean the same suffix, as separators differ.
     found = np.sort(order[np.repeat(distinct, np.diff(np.append(groups, len(order))))])
     begins = ends - lengths - 1
     cuts = np.searchsorted(found, [*begins, ends[-1]])
@@ -208,7 +225,7 @@ def window_hashes(stream: np.ndarray, min_tokens: int) -> np.ndarray:
     n = len(stream) - min_tokens + 1
     total = np.zeros(max(0, n), np.uint64)
     for k in range(min_tokens if n > 0 else 0):
-        total = (total ^ stream[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        total = (total ^ stream[k : k + n].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         total ^= total >> np.uint64(32)
     return total.view(np.int64)
 
@@ -230,96 +247,123 @@ def with_key(pages: DataFrame, ident: str) -> DataFrame:
 
 
 def host_streams(keyed: DataFrame) -> DataFrame:
-    """``key, host, stream`` (hashes of the tokens) of each distinct page."""
+    """``key, host, tokens, loose, stream`` of each row: where loose text lies, and the tokens' hashes, packed."""
 
     def mapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                found = [hashed(stream_of(blocks_of(x))).view(np.int64) for x in part.column(2).to_pylist()]
-                streams = pa.array([x.tolist() for x in found], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), streams], names=["key", "host", "stream"])
+                blocks = [blocks_of(x) for x in part.column(2).to_pylist()]
+                found = [hashed(stream_of(x)) for x in blocks]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), part.column(1), pa.array([len(x) for x in found], pa.int64()),
+                        pa.array([loose_spans(x) for x in blocks], pa.list_(pa.int32())),
+                        pa.array([packer.compress(x.tobytes()) for x in found], pa.binary()),
+                    ],
+                    names=["key", "host", "tokens", "loose", "stream"],
+                )
 
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    read = keyed.select("key", host.alias("host"), "html").mapInArrow(mapped, "key long, host string, stream array<long>")
-    return materialize(read.groupBy("key", "host").agg(F.first("stream").alias("stream")), "streams")
+    read = keyed.select("key", host.alias("host"), "html")
+    return materialize(read.mapInArrow(mapped, "key long, host string, tokens long, loose array<int>, stream binary"), "streams")
+
+
+def unpacked(stream: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(stream), np.uint32)
+
+
+def inside(starts: np.ndarray, spans: list[int], min_tokens: int) -> np.ndarray:
+    """Those starts whose window meets one of the spans."""
+    begins, ends = np.array(spans[::2], np.int64), np.array(spans[1::2], np.int64)
+    at = np.searchsorted(ends, starts, side="right")
+    some = at < len(begins)
+    some[some] = begins[at[some]] < starts[some] + min_tokens
+    return starts[some]
 
 
 def boilerplate_starts(streams: DataFrame, min_tokens: int, shard_tokens: int) -> DataFrame:
-    """``key, starts``: where the windows begin that other pages of the host repeat."""
-    sizes = streams.groupBy("host").agg(F.sum(F.size("stream") + 1).alias("tokens"))
+    """``key, starts``: where the windows begin that meet loose text and that other pages of the host repeat."""
+    sizes = streams.groupBy("host").agg(F.sum(F.col("tokens") + 1).alias("tokens"))
     shards = sizes.select("host", F.ceil(F.col("tokens") / shard_tokens).cast("int").alias("shards"))
     dealt = (
         streams.join(shards, "host")
         .withColumn("shard", F.pmod("key", "shards").cast("int"))
-        .select("host", "shard", "key", "stream", (F.col("shards") > 1).alias("more"))
+        .select("host", "shard", "key", "loose", "stream", (F.col("shards") > 1).alias("more"))
         .repartition("host", "shard")
         .sortWithinPartitions("host", "shard", "key")
     )
 
     def searched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
         for run in shard_runs(batches):
-            keys = [k for k, _, _ in run]
-            local = repeated_starts([s for _, s, _ in run], keys, min_tokens)
-            rows, sent = [], set()
-            for (key, stream, more), starts in zip(run, local):
-                found = window_hashes(stream, min_tokens) if more else np.zeros(0, np.int64)
-                known = np.zeros(len(found), bool)
-                known[starts[starts < len(found)]] = True
-                # Windows known to repeat go on once per shard; the others must meet those of other shards.
-                fresh = [h for h in found[known].tolist() if h not in sent] if more else []
-                sent.update(fresh)
-                at = np.flatnonzero(~known)
-                rows.append((key, starts.tolist(), found[at].tolist(), at.tolist(), list(dict.fromkeys(fresh))))
+            pages = [unpacked(r["stream"]) for r in run] if any(r["loose"] for r in run) else []
+            local = repeated_starts(pages, [r["key"] for r in run], min_tokens)
+            rows = []
+            for r, stream, starts in zip(run, pages, local):
+                if not r["loose"]:
+                    continue
+                every = inside(np.arange(max(0, len(stream) - min_tokens + 1)), r["loose"], min_tokens)
+                known = np.intersect1d(every, starts, assume_unique=True)
+                # Loose windows that this shard does not repeat may be found in another one.
+                asked = np.setdiff1d(every, known, assume_unique=True) if r["more"] else every[:0]
+                windows = window_hashes(stream, min_tokens)[asked]
+                rows.append((r["host"], r["key"], known.tolist(), windows.tolist(), asked.tolist()))
             for a in range(0, len(rows), 512):
                 columns = list(zip(*rows[a : a + 512]))
-                kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds)], names=["key", "starts", "windows", "places", "repeated"]
+                    [pa.array(c, t) for c, t in zip(columns, kinds)], names=["host", "key", "starts", "windows", "places"]
                 )
 
-    shape = "key long, starts array<int>, windows array<long>, places array<int>, repeated array<long>"
-    found = dealt.mapInArrow(searched, shape)
-    found = materialize(found.join(streams.select("key", "host"), "key"), "suffixes")
-    open_windows = found.select("host", "key", F.explode(F.arrays_zip("windows", "places")).alias("w")).select(
+    shape = "host string, key long, starts array<int>, windows array<long>, places array<int>"
+    found = materialize(dealt.mapInArrow(searched, shape), "suffixes")
+    asked = found.select("host", "key", F.explode(F.arrays_zip("windows", "places")).alias("w")).select(
         "host", "key", F.col("w.windows").alias("window"), F.col("w.places").alias("place")
     )
-    known = found.select("host", F.explode("repeated").alias("window"))
-    votes = open_windows.select("host", "window", "key", F.lit(False).alias("known")).unionByName(
-        known.select("host", "window", F.lit(None).cast("long").alias("key"), F.lit(True).alias("known"))
-    )
-    shared = votes.groupBy("host", "window").agg(
-        F.min("key").alias("low"), F.max("key").alias("high"), F.max("known").alias("known")
-    ).where("known OR low <> high")
-    across = open_windows.join(shared.select("host", "window"), ["host", "window"])
-    across = across.groupBy("key").agg(F.collect_list("place").alias("more"))
-    both = found.select("key", "starts").join(across, "key", "left")
+    # Every page of a host in shards is a witness; windows that nobody asks for end before the shuffle
+    # as long as the questions are few enough to be sent to the tasks.
+    cut_hosts = asked.select("host").distinct()
+    witnesses = windows_of(streams.join(cut_hosts, "host", "left_semi"), min_tokens)
+    wanted = witnesses.join(asked.select("host", "window").distinct(), ["host", "window"], "left_semi")
+    shared = wanted.groupBy("host", "window").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
+    across = asked.join(shared.select("host", "window"), ["host", "window"])
+    across = across.groupBy("key").agg(F.collect_set("place").alias("more"))
     every = F.concat("starts", F.coalesce("more", F.array().cast("array<int>")))
-    # One row per key, also should the keys of two pages ever collide.
-    return both.groupBy("key").agg(F.flatten(F.collect_list(every)).alias("starts"))
+    both = found.select("key", "starts").join(across, "key", "left")
+    # One row per key: repeated rows, or keys of two pages should they ever collide.
+    return both.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list(every))).alias("starts")).where("size(starts) > 0")
+
+
+def windows_of(streams: DataFrame, min_tokens: int) -> DataFrame:
+    """``host, key, window``: the distinct windows of each page."""
+
+    def mapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = np.unique(window_hashes(unpacked(batch.column(2)[i].as_py()), min_tokens))
+                at = pa.array(np.zeros(len(found), np.int64))
+                cells = [batch.column(0).slice(i, 1).take(at), batch.column(1).slice(i, 1).take(at), pa.array(found)]
+                yield pa.RecordBatch.from_arrays(cells, names=["host", "key", "window"])
+
+    return streams.select("host", "key", "stream").mapInArrow(mapped, "host string, key long, window long")
 
 
-def shard_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray, bool]]]:
+def shard_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[list[dict]]:
     """The pages of each (host, shard) in a sorted stream of batches."""
-    held: list[tuple[int, np.ndarray, bool]] = []
-    last = None
+    held: list[dict] = []
     for batch in batches:
-        host, shard, key, more = (batch.column(k).to_pylist() for k in (0, 1, 2, 4))
-        lists = batch.column(3)
-        bounds = lists.offsets.to_numpy()
-        flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-        for i in range(batch.num_rows):
-            if (host[i], shard[i]) != last and held:
+        for row in batch.to_pylist():
+            if held and (row["host"], row["shard"]) != (held[0]["host"], held[0]["shard"]):
                 yield held
                 held = []
-            last = (host[i], shard[i])
-            held.append((key[i], flat[bounds[i] : bounds[i + 1]], more[i]))
+            held.append(row)
     if held:
         yield held
 
 
 def main_text(page: str, starts: np.ndarray, min_tokens: int) -> tuple[str, int]:
-    """The text of one page, given where repeated windows start in its stream, and the covered tokens that are not in it."""
+    """The text of one page, given where repeated windows start in its stream, and how many loose tokens they cover."""
     blocks = blocks_of(page)
     hidden = covered(starts, len(stream_of(blocks)), min_tokens)
     spans, at = [], 0
@@ -327,18 +371,14 @@ def main_text(page: str, starts: np.ndarray, min_tokens: int) -> tuple[str, int]
         tokens = text.split()
         spans.append((role, text, tokens, hidden[at : at + len(tokens)]))
         at += len(tokens) + 1
-    articles = [h for role, _, _, h in spans if role == ARTICLE]
-    shares = [h.mean() for h in articles]
-    copy = bool(articles) and (np.concatenate(articles).mean() >= COPY_SHARE or min(shares) >= BLOCK_SHARE)
-    least = min_tokens if articles else 1
-    kept, n_hidden = [], int(hidden.sum())
+    kept, n_hidden = [], 0
     for role, text, tokens, own in spans:
-        if role == ARTICLE and (copy or own.mean() < BLOCK_SHARE):
+        if role == ARTICLE:
             kept.append(text)
-            n_hidden -= int(own.sum())
         elif role == LOOSE:
+            n_hidden += int(own.sum())
             edges = np.flatnonzero(np.diff(np.concatenate([[True], own, [True]])))
-            unique = [t for a, b in zip(edges[::2], edges[1::2]) if b - a >= least for t in tokens[a:b]]
+            unique = [t for a, b in zip(edges[::2], edges[1::2]) for t in tokens[a:b]]
             if unique:
                 kept.append(" ".join(unique))
     return "\n".join(kept), n_hidden
