@@ -31,12 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from stargauge.llm.common import let, table
-from stargauge.session import materialize
+from stargauge.session import colocated, materialize
 
 #: Fixed value: how the format writes a blank.
 BLANK = "▁"
 FINE_WORDS = rf"{BLANK}*[\p{{L}}\p{{M}}]+|{BLANK}*\p{{Nd}}|{BLANK}*[^\p{{L}}\p{{M}}\p{{Nd}}{BLANK}]+|{BLANK}+"
-#: Words with at least one in so many occurrences, and at most so long, are answered in place of joined.
+#: Words with at least one in so many occurrences, and at most so long, are answered in place of joined; longer
+#: words take the way for words of any length.
 FREQUENT, SHORT = 1 << 16, 64
 COARSE_WORDS = rf"{BLANK}*[^{BLANK}]+|{BLANK}+"
 
@@ -93,19 +94,50 @@ def words_in(text: Column, vocabulary: Vocabulary) -> Column:
     return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
 
 
+EDGES = "array<struct<start:int,length:int,id:int,score:double>>"
+
+
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """The columns of ``words`` (distinct, not empty) and ``edges``: every substring that is a piece, as (start, length, id, score)."""
-    pieces = piece_table(words.sparkSession, vocabulary).withColumnRenamed("piece", "part")
     starts = F.sequence(F.lit(1), F.length("word"))
     lengths = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), F.length("word") - F.col("start") + 1))
     spans = words.select("*", F.explode(starts).alias("start")).select("*", F.explode(lengths).alias("length"))
     parts = spans.withColumn("part", F.expr("substring(word, start, length)"))
+    # Words that were just made distinct lie by word already, and their edges need no shuffle.
+    return joined_edges(parts, vocabulary, words.columns)
+
+
+def long_lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """:func:`lattice` for words of any length, whose rows carry a number in place of the word.
+
+    A word's windows of the longest piece are cut before they are exploded, so memory grows with the word's
+    length and not with its square; the word meets its edges again by its number.
+    """
+    numbered = materialize(words.withColumn("__word", F.monotonically_increasing_id()), "long-words")
+    letters = F.regexp_extract_all("word", F.lit("(?s)."), F.lit(0))
+    windows = let(
+        letters,
+        lambda all_letters: F.transform(
+            F.sequence(F.lit(1), F.size(all_letters)),
+            lambda i: F.struct(i.alias("start"), F.array_join(F.slice(all_letters, i, vocabulary.longest), "").alias("window")),
+        ),
+    )
+    spans = numbered.select("__word", F.inline(windows))
+    lengths = F.transform(
+        F.sequence(F.lit(1), F.length("window")),
+        lambda n: F.struct(n.alias("length"), F.substring(F.col("window"), F.lit(1), n).alias("part")),
+    )
+    parts = spans.select("__word", "start", F.inline(lengths))
+    return numbered.join(joined_edges(parts, vocabulary, ["__word"]), "__word").select(*words.columns, "edges")
+
+
+def joined_edges(parts: DataFrame, vocabulary: Vocabulary, keys: list[str]) -> DataFrame:
+    """``keys, edges``: the parts (``start, length, part``) that are pieces, grouped by word."""
+    pieces = piece_table(parts.sparkSession, vocabulary).withColumnRenamed("piece", "part")
     # One row per piece of the vocabulary file. A word's first character stays, so that no word is lost.
     met = parts.join(F.broadcast(pieces), "part", "left").where("id IS NOT NULL OR (start = 1 AND length = 1)")
     edge = F.when(F.col("id").isNotNull(), F.struct((F.col("start") - 1).alias("start"), "length", "id", "score"))
-    empty = F.array().cast("array<struct<start:int,length:int,id:int,score:double>>")
-    # Words that were just made distinct lie by word already, and their edges need no shuffle.
-    return met.groupBy(*words.columns).agg(F.coalesce(F.collect_list(edge), empty).alias("edges"))
+    return met.groupBy(*keys).agg(F.coalesce(F.collect_list(edge), F.array().cast(EDGES)).alias("edges"))
 
 
 def best_path(word: Column, edges: Column, byte_ids: tuple[int, ...], byte_score: float = -100.0) -> Column:
@@ -181,7 +213,11 @@ def merged(word: str, edges: dict[tuple[int, int], tuple[float, int]], byte_ids:
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """The columns of ``words`` (``word`` the first of them, distinct and not empty) and ``ids``."""
-    graph = lattice(words, vocabulary)
+    # Dealt by word once; short and long words then take their own way to the edges of their lattices.
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = colocated(words, ["word"], parts)
+    short = F.length("word") <= SHORT
+    graph = lattice(words.where(short), vocabulary).unionByName(long_lattice(words.where(~short), vocabulary))
     if not vocabulary.bpe:
         return graph.select(*words.columns, best_path(F.col("word"), F.col("edges"), vocabulary.byte_ids).alias("ids"))
     byte_ids = vocabulary.byte_ids

@@ -82,3 +82,21 @@ def test_query_encodes_and_decodes_every_document(spark, library, monkeypatch):
         for r in got:
             assert r["ids"] == library.encode(texts[r["doc_id"]]) and r["n_pieces"] == len(r["ids"])
             assert r["text"] == texts[r["doc_id"]].replace("▁", " ")
+
+
+def test_words_without_blanks_of_any_length(spark, vocabulary, library):
+    draw = random.Random(3)
+    rows = [
+        (0, "".join(draw.choices("abcdefghij", k=100_000))), (1, "日本語" * 20_000), (2, "😀" * 300 + "a" * 70), (3, "short words"),
+        (4, "-" * 5000), (5, " " * 500 + "x"),
+    ]
+    got = {r["doc_id"]: r for r in encode_documents(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary).collect()}
+    for i, text in rows:
+        assert got[i]["ids"] == library.encode(text) and got[i]["text"] == text
+
+
+def test_long_words_take_the_best_path(spark):
+    toy = Vocabulary(((300, "a", -1.0), (301, "aa", -1.5), (302, "b", -3.0)), tuple(range(256)), False)
+    word = "a" * 81 + "b"
+    (got,) = encode_words(spark.createDataFrame([(word,)], "word string"), toy).collect()
+    assert sorted(got["ids"]) == [300] + [301] * 40 + [302]
