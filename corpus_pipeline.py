@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from stargauge.llm.byte_cnn import add_quality, fit_quality
 from stargauge.llm.common import remainder, table
+from stargauge.llm.near_duplicates import one_of_each
 from stargauge.llm.packing import pack
-from stargauge.llm.quality_rules import judge_lines
-from stargauge.llm.simhash import add_fingerprints, component_ids
+from stargauge.llm.quality_rules import line_first
 from stargauge.session import materialize
 
 LEAST_QUALITY = 0.7
@@ -32,7 +32,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the line rules, without the lines that failed; ``n_chars`` follows the text."""
-    judged = judge_lines(docs, into="__rules").where("__rules.kept")
+    # A generator keeps the verdict in one place; a filter over a plain column would evaluate it again.
+    judged = docs.select("*", F.explode(F.array(line_first(F.col("text")))).alias("__rules")).where("__rules.kept")
     cleaned = {"text": F.col("__rules.clean_text")}
     if "n_chars" in docs.columns:
         cleaned["n_chars"] = F.length("__rules.clean_text").cast(docs.schema["n_chars"].dataType)
@@ -40,15 +41,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: the one of the smallest doc_id, the first row if several have it."""
-    numbered = add_fingerprints(docs, into="__simhash").withColumn("__row", F.monotonically_increasing_id())
-    numbered = materialize(numbered, "fingerprinted")
-    prints = numbered.select("doc_id", "__simhash", "__row")
-    classes = component_ids(prints, column="__simhash")
-    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("__row").alias("row"))
-    met = prints.join(classes, prints["__simhash"] == classes["fp"])
-    heads = met.groupBy("root").agg(F.min(rank).alias("head")).select(F.col("head.row").alias("__row"))
-    return numbered.join(heads, "__row", "left_semi").select(docs.columns)
+    """One document of each group whose five-word shingles are 0.8 alike or more: the smallest doc_id stays."""
+    return one_of_each(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
