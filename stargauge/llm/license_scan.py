@@ -1,12 +1,14 @@
 """Licence scan: passages compared to licence templates by the Dice coefficient of word bigrams.
 
-Built-in column expressions only. A passage is a run of up to ``max_lines`` lines and ``max_words``
-words. Texts are normalised (lower case, anything but ASCII letters and digits separates words) and
-turned into sets of word bigrams. Bounds prune before any passage is formed: a template of ``b``
-bigrams can only reach the coefficient ``t`` with a text that holds at least ``t b / (2 - t)`` of
-them (so one of the anchor words that these cannot do without), and only with a passage of at least
-as many and at most ``(2 - t) b / t`` bigrams. Each line takes the licence of the best passage over
-it, and a document the licences of its lines.
+Built-in column expressions only. Texts are normalised (lower case, anything but ASCII letters and digits
+separates words, line breaks too), so a notice inside a paragraph, or wrapped over any number of lines, is the same
+run of words. A passage is compared as one of at least the template's size: else the opening words that many
+notices share ("this work is licensed under the") would match each of them. Bounds prune: a template of ``b``
+bigrams can only reach the coefficient ``t`` with a text that holds at least ``t b`` of them (so one of the anchor
+words that these cannot do without), and only with a passage of at least as many and at most ``(2 - t) b / t``
+bigrams. So passages of a template begin at any of its bigrams in the text and are at most that long; the best
+end of each begin counts. Each word takes the licence of the best passage over it, and a document the licences of
+its words.
 
 Defined results: a null or empty text has no licence (``licenses`` is empty, the best one null); of
 equally good passages the shorter wins, then the name in alphabetical order; every row is judged on
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 from stargauge.llm.common import let, table
 
 THRESHOLD = 0.8
-MAX_LINES, MAX_WORDS = 24, 400
 
 #: Licences and how short notices name them.
 NAMES = {
@@ -120,7 +121,12 @@ def templates() -> list[tuple[str, list[str]]]:
 
 def least_shared(size: int, threshold: float) -> int:
     """Bigrams of a template that any text reaching the threshold shares, at least."""
-    return math.ceil(threshold * size / (2 - threshold) - 1e-9)
+    return math.ceil(threshold * size - 1e-9)
+
+
+def most_bigrams(size: int, threshold: float) -> int:
+    """Bigrams of a passage that reaches the threshold with a template, at most."""
+    return math.floor((2 - threshold) * size / threshold + 1e-9)
 
 
 def anchors(known: list[tuple[str, list[str]]], threshold: float) -> list[str]:
@@ -144,132 +150,120 @@ def words_of(line: Column) -> Column:
 
 
 def bigrams_of(words: Column) -> Column:
-    pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", words[i], words[i + 1]))
-    return F.when(F.size(words) >= 2, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+    """The bigrams of at least two words, in order."""
+    return F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", words[i], words[i + 1]))
 
 
 def strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def may_match(bigrams: Column, known: list[tuple[str, list[str]]], threshold: float) -> Column:
-    """Whether a text holds enough bigrams of some template."""
-    every = sorted({b for _, some in known for b in some})
-    least = min(least_shared(len(some), threshold) for _, some in known)
-
-    def enough(hits: Column) -> Column:
-        tests = [
-            F.size(F.array_intersect(hits, strings(some))) >= least_shared(len(some), threshold) for _, some in known
+def template_column(known: list[tuple[str, list[str]]], threshold: float) -> Column:
+    """The templates as one literal: licence, bigrams, how many of them a text needs, and the longest passage."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(licence).alias("license"), strings(some).alias("bigrams"),
+                F.lit(least_shared(len(some), threshold)).alias("least"), F.lit(most_bigrams(len(some), threshold)).alias("most"),
+            )
+            for licence, some in known
         ]
-        some_template = tests[0]
-        for test in tests[1:]:
-            some_template = some_template | test
-        return (F.size(hits) >= least) & some_template
+    )
 
-    return let(F.array_intersect(bigrams, strings(every)), enough)
 
+def within_reach(pairs: Column, known: list[tuple[str, list[str]]], threshold: float) -> Column:
+    """The templates of which a text holds enough bigrams; none for most texts, which hold too few of any."""
+    every = sorted({b for _, some in known for b in some})
+    least = min(least_shared(len(some), threshold) for _, some in known)
+    all_of_them = template_column(known, threshold)
 
-def matches(known: list[tuple[str, list[str]]], threshold: float, size: Column, hits: Column) -> Column:
-    """Licence and coefficient for every template that a passage of ``size`` bigrams reaches."""
+    def reached(hits: Column) -> Column:
+        enough = F.filter(all_of_them, lambda t: F.size(F.array_intersect(hits, t["bigrams"])) >= t["least"])
+        return F.when(F.size(hits) >= least, enough)
 
-    def one(licence: str, some: list[str]) -> Column:
-        low, high = least_shared(len(some), threshold), math.floor((2 - threshold) * len(some) / threshold + 1e-9)
-        shared = F.size(F.array_intersect(hits, strings(some)))
-        dice = F.lit(2.0) * shared / (size + len(some))
-        return F.when(
-            size.between(low, high) & (F.size(hits) >= low), F.struct(F.lit(licence).alias("license"), dice.alias("dice"))
-        )
+    return let(F.array_intersect(pairs, strings(every)), reached)
 
-    return F.filter(F.array(*[one(*t) for t in known]), lambda x: x.isNotNull() & (x["dice"] >= threshold))
 
+def best_passages(pairs: Column, template: Column, threshold: float) -> Column:
+    """For each place where a template's bigram stands, the best passage from there (null if none reaches the threshold)."""
+    places = F.filter(F.sequence(F.lit(1), F.size(pairs)), lambda i: F.array_contains(template["bigrams"], F.element_at(pairs, i)))
 
-def passages_of(
-    lines: Column, known: list[tuple[str, list[str]]], threshold: float, max_lines: int, max_words: int
-) -> Column:
-    """Place, bigrams and hits of every run of lines within the limits that holds enough template bigrams."""
-    every = strings(sorted({b for _, some in known for b in some}))
-    least = min(least_shared(len(some), threshold) for _, some in known)
+    def best_from(first: Column) -> Column:
+        def best_end(run: Column) -> Column:
+            def measured(n: Column) -> Column:
+                part = F.slice(run, 1, n)
+                shared = F.size(F.array_intersect(part, template["bigrams"]))
+                whole = F.size(template["bigrams"])
+                size = F.greatest(F.size(F.array_distinct(part)), whole) + whole
+                return F.struct((F.lit(2.0) * shared / size).alias("dice"), (-n).alias("shorter"))
 
-    def runs(words: Column) -> Column:
-        def from_line(first: Column) -> Column:
-            ends = F.sequence(F.lit(1), F.least(F.lit(max_lines), F.size(words) - first))
-            joined = F.transform(ends, lambda n: F.struct(n.alias("n"), F.flatten(F.slice(words, first + 1, n)).alias("w")))
-            fitting = F.filter(joined, lambda x: F.size(x["w"]).between(2, max_words))
-
-            def measured(x: Column) -> Column:
-                return let(
-                    bigrams_of(x["w"]),
-                    lambda b: F.struct(
-                        first.alias("first"),
-                        x["n"].alias("n_lines"),
-                        F.size(b).alias("size"),
-                        F.array_intersect(b, every).alias("hits"),
+            # The best passage ends with a bigram of the template, too.
+            ends = F.filter(
+                F.sequence(F.lit(1), F.size(run)),
+                lambda n: F.array_contains(template["bigrams"], F.element_at(run, n)) & (n >= template["least"]),
+            )
+            return let(
+                F.array_max(F.transform(ends, measured)),
+                lambda x: F.when(
+                    x["dice"] >= threshold,
+                    F.struct(
+                        template["license"].alias("license"), x["dice"].alias("dice"), first.alias("first"),
+                        (1 - x["shorter"]).alias("n_words"),
                     ),
-                )
-
-            return F.filter(F.transform(fitting, measured), lambda x: F.size(x["hits"]) >= least)
+                ),
+            )
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(words) - 1), from_line))
+        return let(F.slice(pairs, first, template["most"]), best_end)
 
-    return let(F.transform(lines, words_of), runs)
+    return F.filter(F.transform(places, best_from), lambda x: x.isNotNull())
 
 
-def scan_licenses(
-    docs: DataFrame,
-    ident: str = "doc_id",
-    text: str = "text",
-    threshold: float = THRESHOLD,
-    max_lines: int = MAX_LINES,
-    max_words: int = MAX_WORDS,
-) -> DataFrame:
-    """``doc_id, n_license_lines, licenses, best_license, best_dice`` of every row."""
+def scan_licenses(docs: DataFrame, ident: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, n_license_words, licenses, best_license, best_dice`` of every row."""
     known = templates()
     lower = F.lower(F.coalesce(F.col(text), F.lit("")))
     anchor = strings(anchors(known, threshold))
 
-    def candidate(words: Column) -> Column:
-        return F.arrays_overlap(words, anchor) & may_match(let(words, bigrams_of), known, threshold)
+    def passages(pairs: Column) -> Column:
+        return let(
+            within_reach(pairs, known, threshold),
+            lambda some: F.flatten(F.transform(some, lambda t: best_passages(pairs, t, threshold))),
+        )
+
+    def of_words(words: Column) -> Column:
+        return F.when(F.arrays_overlap(words, anchor) & (F.size(words) >= 2), let(bigrams_of(words), passages))
 
-    rows = docs.select(
+    numbered = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(ident).alias("doc_id"),
-        F.when(let(words_of(lower), candidate), F.split(lower, "\n", -1)).alias("lines"),
-    )
-    passages = passages_of(F.col("lines"), known, threshold, max_lines, max_words)
-    runs = rows.select("row", "doc_id", F.explode_outer(passages).alias("run"))
-    met = runs.select(
-        "row", "doc_id", "run", F.explode_outer(matches(known, threshold, F.col("run.size"), F.col("run.hits"))).alias("found")
+        let(words_of(lower), of_words).alias("passages"),
     )
+    rows = numbered.select("row", "doc_id", F.explode_outer("passages").alias("found"))
     # All passages of a row stand in one task, so these groups shrink before they are shuffled.
-    by_line = met.select(
+    by_word = rows.select(
         "row",
         "doc_id",
-        F.explode_outer(
-            F.when(
-                F.col("found").isNotNull(),
-                F.sequence(F.col("run.first"), F.col("run.first") + F.col("run.n_lines") - 1),
-            )
-        ).alias("line"),
+        F.explode_outer(F.sequence(F.col("found.first"), F.col("found.first") + F.col("found.n_words") - 1)).alias("word"),
         F.when(
             F.col("found").isNotNull(),
             F.struct(
                 (-F.col("found.dice")).alias("cost"),
-                F.col("run.n_lines").alias("n_lines"),
+                F.col("found.n_words").alias("n_words"),
                 F.col("found.license").alias("license"),
             ),
         ).alias("match"),
     )
-    best = by_line.groupBy("row", "doc_id", "line").agg(F.min("match").alias("match"))
+    best = by_word.groupBy("row", "doc_id", "word").agg(F.min("match").alias("match"))
     return (
         best.groupBy("row", "doc_id")
         .agg(
-            F.count("match").alias("n_license_lines"),
+            F.count("match").alias("n_license_words"),
             F.array_join(F.array_sort(F.collect_set("match.license")), ",").alias("licenses"),
             F.min("match").alias("best"),
         )
         .select(
             "doc_id",
-            "n_license_lines",
+            "n_license_words",
             "licenses",
             F.col("best.license").alias("best_license"),
             (-F.col("best.cost")).alias("best_dice"),
@@ -283,41 +277,39 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same result in DuckDB, from all passages of all documents without the first bound."""
+    """The same result in DuckDB: every passage between two bigrams of a template within its bounds."""
     values = ", ".join(
-        f"({i}, '{licence}', [{', '.join(repr(b) for b in some)}])" for i, (licence, some) in enumerate(templates())
+        f"({i}, '{licence}', [{', '.join(repr(b) for b in some)}], {least_shared(len(some), THRESHOLD)}, "
+        f"{most_bigrams(len(some), THRESHOLD)})"
+        for i, (licence, some) in enumerate(templates())
     )
     return f"""
-WITH templates(t, license, bigrams) AS (VALUES {values}),
+WITH templates(t, license, bigrams, least, most) AS (VALUES {values}),
 docs AS (
-  SELECT row_number() OVER () AS k, doc_id,
-    string_split(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9\\n]+', ' ', 'g'), chr(10)) AS lines
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS words
   FROM documents),
-lines AS (SELECT k, lines, first_line FROM docs, unnest(range(len(lines))) AS r(first_line)),
-runs AS (
-  SELECT k, first_line, n_lines,
-    regexp_extract_all(array_to_string(lines[first_line + 1 : first_line + n_lines], ' '), '[a-z0-9]+') AS words
-  FROM lines, unnest(range(1, least({MAX_LINES}, len(lines) - first_line) + 1)) AS r(n_lines)),
+pairs AS (SELECT k, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) AS p FROM docs),
+near AS (
+  SELECT k, p, t.* FROM pairs, templates AS t WHERE len(list_intersect(list_distinct(p), t.bigrams)) >= least),
+starts AS (
+  SELECT k, t, license, bigrams, least, first, p[first : first + most - 1] AS run
+  FROM near, unnest(range(1, len(p) + 1)) AS r(first) WHERE list_contains(bigrams, p[first])),
 passages AS (
-  SELECT k, first_line, n_lines,
-    list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS bigrams
-  FROM runs WHERE len(words) BETWEEN 2 AND {MAX_WORDS}),
+  SELECT k, t, license, first, n,
+    2.0::DOUBLE * len(list_intersect(list_distinct(run[1 : n]), bigrams)) / (greatest(len(list_distinct(run[1 : n])), len(bigrams)) + len(bigrams)) AS dice
+  FROM starts, unnest(range(1, len(run) + 1)) AS r(n)),
 found AS (
-  SELECT k, first_line, n_lines, license,
-    2.0::DOUBLE * len(list_intersect(p.bigrams, t.bigrams)) / (len(p.bigrams) + len(t.bigrams)) AS dice
-  FROM passages AS p JOIN templates AS t
-    ON len(p.bigrams) <= len(t.bigrams) * 1.5 + 0.001 AND len(t.bigrams) <= len(p.bigrams) * 1.5 + 0.001),
-by_line AS (
-  SELECT k, line, dice, n_lines, license
-  FROM found, unnest(range(first_line, first_line + n_lines)) AS r(line)
-  WHERE dice >= {THRESHOLD}
-  QUALIFY row_number() OVER (PARTITION BY k, line ORDER BY dice DESC, n_lines, license) = 1),
+  SELECT * FROM passages WHERE dice >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY k, t, first ORDER BY dice DESC, n) = 1),
+by_word AS (
+  SELECT k, word, dice, n, license FROM found, unnest(range(first, first + n + 1)) AS r(word)
+  QUALIFY row_number() OVER (PARTITION BY k, word ORDER BY dice DESC, n, license) = 1),
 by_doc AS (
   SELECT k, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS dice
-  FROM by_line GROUP BY k),
+  FROM by_word GROUP BY k),
 best AS (
-  SELECT k, license FROM by_line QUALIFY row_number() OVER (PARTITION BY k ORDER BY dice DESC, n_lines, license) = 1)
-SELECT doc_id, coalesce(n, 0) AS n_license_lines, coalesce(licenses, '') AS licenses,
+  SELECT k, license FROM by_word QUALIFY row_number() OVER (PARTITION BY k ORDER BY dice DESC, n, license) = 1)
+SELECT doc_id, coalesce(n, 0) AS n_license_words, coalesce(licenses, '') AS licenses,
   license AS best_license, dice AS best_dice
 FROM docs LEFT JOIN by_doc USING (k) LEFT JOIN best USING (k)
 """
