@@ -1,9 +1,11 @@
 """I-Match fingerprints: distinct terms of a band of inverse document frequencies, hashed over lexicons.
 
 The lexicon holds the terms whose inverse document frequency, as a share of its largest possible
-value, lies in a band. Document frequencies are counted over all texts, per slot of a table of fixed
-size (``SLOTS``; a term's slot is a hash of it), so that the lexicon every task needs is a bitmap of
-proven size, however large the vocabulary grows; terms that meet in a slot share their frequency.
+value, lies in a band. Document frequencies are counted over all texts and per term (by its 64-bit hash), in
+tasks before they are shuffled. What every task needs to know of the lexicon is a bitmap of fixed size
+(``SLOTS`` bits): a term is in if both of its bits are set. All terms of the band are; another term is by
+chance only, with probability (2 n / SLOTS)^2 for n terms in the band (one in ten thousand at 300,000, one in
+ten at ten million), and then in all texts alike.
 
 A text's distinct terms inside the lexicon are sorted and hashed once for the whole lexicon and once
 for each of several randomised subsets of it. A subset keeps a term with a chance of ``2**-scale``;
@@ -35,8 +37,8 @@ from pyspark.sql.types import NumericType
 
 from stargauge.llm.common import table
 
-#: Slots of the document-frequency table; its bitmap takes an eighth of this in bytes.
-SLOTS = 1 << 22
+#: Bits of the lexicon's bitmap, which takes an eighth of this in bytes.
+SLOTS = 1 << 26
 #: The band of inverse document frequencies, as shares of the largest possible one.
 BAND = (0.15, 0.85)
 #: Randomised subsets of the lexicon at each scale, and scales in a fingerprint.
@@ -54,24 +56,24 @@ def hashed_terms(text: str) -> np.ndarray:
     return np.sort(np.array([digest(t) for t in set(TERM.findall(text.lower()))], np.uint64))
 
 
-def slots_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(40)) & np.uint64(SLOTS - 1)
+def slots_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each term."""
+    return hashes >> np.uint64(38), hashes & np.uint64(SLOTS - 1)
 
 
-def count_slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many texts have a term in each slot, summed within the task."""
+def count_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts have each term, summed within the task."""
     held: list[np.ndarray] = []
     size = 0
 
     def summed() -> pa.RecordBatch:
-        slots, counts = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(counts)], names=["slot", "n"])
+        terms, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(counts)], names=["term", "n"])
 
     for batch in batches:
         for text in batch.column(0):
-            slots = np.unique(slots_of(hashed_terms(text.as_py() or "")))
-            held.append(slots.astype(np.uint32))
-            size += len(slots)
+            held.append(hashed_terms(text.as_py() or ""))
+            size += len(held[-1])
             if size >= TERMS_AT_ONCE:
                 yield summed()
                 held, size = [], 0
@@ -80,7 +82,7 @@ def count_slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def lexicon(docs: DataFrame, text: str = "text", band: tuple[float, float] = BAND) -> bytes:
-    """The bitmap of the slots whose inverse document frequency lies in the band.
+    """The bitmap of the terms whose inverse document frequency lies in the band.
 
     At most ``SLOTS`` bits reach the driver, whatever the number of documents or terms.
     """
@@ -89,15 +91,17 @@ def lexicon(docs: DataFrame, text: str = "text", band: tuple[float, float] = BAN
         return bytes(SLOTS // 8)
     # idf / largest idf = 1 - ln(n) / ln(total)
     share = F.lit(1.0) - F.log(F.col("n")) / F.lit(max(1e-9, np.log(total)))
-    counts = docs.select(text).mapInArrow(count_slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    counts = docs.select(text).mapInArrow(count_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    inside = counts.where(share.between(*band))
+    slots = F.array(F.shiftrightunsigned("term", 38), F.col("term").bitwiseAND(F.lit(SLOTS - 1)))
     words = (
-        counts.where(share.between(*band))
+        inside.select(F.explode(slots).alias("slot"))
         .groupBy((F.col("slot") / 64).cast("int").alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, pmod(slot, 64)))").alias("bits"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(pmod(slot, 64) AS int)))").alias("bits"))
     )
+    found = words.toArrow()
     bitmap = np.zeros(SLOTS // 64, np.int64)
-    for word, bits in words.collect():
-        bitmap[word] = bits
+    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return bitmap.tobytes()
 
 
@@ -105,12 +109,17 @@ class Fingerprinter:
     """Fingerprints of texts under one lexicon."""
 
     def __init__(self, bitmap: bytes) -> None:
-        self.bits = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").view(bool)
+        self.bits = np.frombuffer(bitmap, np.uint8)
+
+    def known(self, terms: np.ndarray) -> np.ndarray:
+        """Which hashed terms are in the lexicon."""
+        first, second = ((self.bits[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 for x in slots_of(terms))
+        return (first & second).view(bool)
 
     def hashes(self, text: str) -> np.ndarray:
         """Scale, hash over the whole lexicon, and 24-bit hashes of the subsets of each scale (0: no term)."""
         terms = hashed_terms(text)
-        inside = terms[self.bits[slots_of(terms)]]
+        inside = terms[self.known(terms)]
         if len(inside):
             terms = inside
         found = np.zeros(2 + SPAN * REPLICAS, np.uint32)

@@ -1,11 +1,13 @@
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
+import xxhash
 from helpers import no_documents, odd_documents
 
-from stargauge.llm.imatch import SLOTS, Fingerprinter, as_text, edited, fingerprint_documents, hashed_terms, lexicon, likeness, slots_of
+from stargauge.llm.imatch import BAND, REPLICAS, SALTS, SLOTS, SPAN, Fingerprinter, as_text, edited, fingerprint_documents, hashed_terms, lexicon, likeness, mix
 
 ALL_TERMS = b"\xff" * (SLOTS // 8)
 
@@ -29,11 +31,10 @@ def test_every_row_meets_the_next_one(spark):
 def test_lexicon_holds_the_band(spark):
     texts = ["common middle%d rare%d" % (i % 20, i) for i in range(200)]
     bitmap = lexicon(spark.createDataFrame([(t,) for t in texts], "text string"), band=(0.2, 0.8))
-    inside = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
-    slot = lambda term: int(slots_of(hashed_terms(term))[0])
-    assert not inside[slot("common")] and not inside[slot("rare5")] and inside[slot("middle5")]
-    assert inside.sum() == 20
     prints = Fingerprinter(bitmap)
+    has = lambda term: bool(prints.known(hashed_terms(term))[0])
+    assert not has("common") and not has("rare5") and all(has(f"middle{i}") for i in range(20))
+    assert np.unpackbits(np.frombuffer(bitmap, np.uint8)).sum() == 40
     assert likeness(prints.hashes(texts[3]), prints.hashes("Rare7 MIDDLE3 common")) == 1.0
 
 
@@ -64,3 +65,31 @@ def test_odd_rows_and_empty_table(spark):
     assert fingerprint_documents(no_documents(spark), lexicon(no_documents(spark))).count() == 0
     with pytest.raises(TypeError):
         fingerprint_documents(docs.withColumn("doc_id", docs["text"]), ALL_TERMS)
+
+
+def test_lexicon_equals_plain_document_frequencies(spark):
+    """Every term of the documents is in the lexicon if its own frequency lies in the band."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [r["text"] or "" for r in docs.collect()]
+    counts = {}
+    for text in texts:
+        for term in set(re.findall(r"\w+", text.lower())):
+            counts[term] = counts.get(term, 0) + 1
+    share = {t: 1 - np.log(n) / np.log(len(texts)) for t, n in counts.items()}
+    prints = Fingerprinter(lexicon(docs))
+    wrong = [t for t, x in share.items() if bool(prints.known(hashed_terms(t))[0]) != (BAND[0] <= x <= BAND[1])]
+    assert len(counts) > 5000 and len(wrong) <= 2
+
+
+def test_fingerprint_equals_plain_hashes():
+    """The lexicon's hash is that of the sorted distinct terms inside; a subset's has only terms it keeps."""
+    prints = Fingerprinter(ALL_TERMS)
+    text = "Some words, and some more words; and numbers 12 too"
+    terms = sorted(xxhash.xxh64_intdigest(t) for t in set(re.findall(r"\w+", text.lower())))
+    found = prints.hashes(text)
+    assert found[0] == max(1, (len(terms) - 1).bit_length())
+    assert found[1] == xxhash.xxh32_intdigest(np.array(terms, np.uint64).tobytes())
+    for replica, salt in enumerate(SALTS):
+        for k in range(SPAN):
+            kept = [t for t in terms if int(mix(np.array([t], np.uint64) ^ salt)[0]) % (1 << int(found[0]) + k) == 0]
+            assert bool(found[2 + k * REPLICAS + replica]) == bool(kept)
