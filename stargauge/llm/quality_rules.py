@@ -24,6 +24,7 @@ SYMBOLS = "#*$%&|<>"
 
 #: Phrases that mark a line as site boilerplate (matched in lower case).
 BOILERPLATE = (
+    # English
     "all rights reserved",
     "accept cookies",
     "click here",
@@ -37,6 +38,34 @@ BOILERPLATE = (
     "subscribe to our",
     "terms of service",
     "terms of use",
+    # German
+    "alle rechte vorbehalten",
+    "cookies akzeptieren",
+    "datenschutzerklärung",
+    "hier klicken",
+    "jetzt abonnieren",
+    "mehr lesen",
+    "newsletter abonnieren",
+    "nutzungsbedingungen",
+    "weiterlesen",
+    # French
+    "abonnez-vous",
+    "accepter les cookies",
+    "cliquez ici",
+    "lire la suite",
+    "mentions légales",
+    "partager cet article",
+    "politique de confidentialité",
+    "tous droits réservés",
+    # Spanish
+    "aceptar cookies",
+    "haga clic aquí",
+    "leer más",
+    "política de cookies",
+    "política de privacidad",
+    "suscríbete",
+    "todos los derechos reservados",
+    "términos y condiciones",
 )
 
 HAS_WORD = r"[^\x20\x09-\x0D]"

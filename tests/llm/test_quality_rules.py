@@ -67,3 +67,11 @@ def test_odd_rows_and_empty_table(spark):
     assert rows[1, None]["n_words"] == 0 and rows[1, None]["base_failed"] and not rows[1, None]["kept"]
     assert rows[2, ""]["n_dup_lines"] == 0
     assert judge_lines(no_documents(spark)).count() == 0
+
+
+def test_boilerplate_in_four_languages_goes(spark):
+    good = "\n".join(f"Line{i} tells{i} something{i} new{i}, and ends{i} here{i}." for i in range(12))
+    stock = ["Click here.", "Alle Rechte vorbehalten.", "Tous droits réservés.", "Términos y condiciones."]
+    rows = [(i, f"{good}\n{line}") for i, line in enumerate(stock)]
+    found = judge_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["line_rules"]["kept"] and r["line_rules"]["clean_text"] == good for r in found) and len(found) == 4
