@@ -733,6 +733,19 @@ def oracle_sql() -> dict[str, str]:
                UNION ALL SELECT round(sr / nr, 6), cast(nr AS bigint), round(sr / nr, 6) FROM best""",
             "prep_e", **STUMP,
         ),
+        "boosting_stump": sql(
+            """SELECT round(sl / nl, 6) AS prediction, cast(nl AS bigint) AS n FROM best
+               UNION ALL SELECT round(sr / nr, 6), cast(nr AS bigint) FROM best""",
+            "prep_e", **STUMP,
+        ),
+        "network_loss": network_scores(
+            """SELECT count(*) AS n, round(avg((prediction - r.rating) ** 2), 5) AS loss
+               FROM net JOIN prep_e r ON net.row_id = r.row_id
+               WHERE cast('0x' || substr(md5(concat_ws('|', r.row_id, 1051)), 1, 8) AS bigint) < 0.1 * 4294967296"""
+        ),
+        "written_predictions": sql(
+            f"SELECT * FROM ({PREDICTION_OUTPUT}), (SELECT unnest(['csv', 'parquet']) AS fmt)", "base_pred"
+        ),
         "top_importances": sql(
             f"""SELECT feature, CASE WHEN feature = (SELECT feature FROM best) THEN 1.0::double ELSE 0.0::double END AS importance
                 FROM (SELECT unnest({STUMP_NAMES}) AS feature)""",

@@ -32,13 +32,14 @@ from ..operators.split import hash_split, train_test
 from ..plans import training
 from ..plans.crossval import cross_validate_least_squares
 from ..plans.estimators import create_model, load_model, save_model
+from ..plans.mlp import VALIDATION_SEED_SHIFT, MlpRegressor
 from ..plans.recipes import BoostingRecipe, ForestRecipe, LinearRecipe, MeansRecipe, MlpRecipe, SparseRecipe, load_recipe
 from ..plans.recipes.forest import attach_latent_factors
 from ..plans.scoring import prediction_output, score
 from ..session import at_rest, materialize, new_scratch_path
 from ..sources import views
-from ..sources.readers import read_movies_csv, read_ratings_csv, read_ratings_with_row_id
-from ..sources.writers import read_feature_table, write_feature_table, write_metrics, write_table
+from ..sources.readers import CSV_READING, read_movies_csv, read_ratings_csv, read_ratings_with_row_id, read_table
+from ..sources.writers import read_feature_table, write_feature_table, write_metrics, write_predictions, write_table
 from . import baselines as B
 from .formula import FORMULA_WIDTHS, formula_network
 
@@ -615,6 +616,16 @@ def fit_stump(spark, folder):
     return sides.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("rating"), 6).alias("mean_rating"))
 
 
+@query
+def boosting_stump(spark, folder):
+    """One round of boosting by a tree of depth one, which starts from the mean and so ends at the sides' means."""
+    _, rows, _ = _stump(spark, folder)
+    params = {"n_estimators": 1, "max_depth": 1, "max_features": "all", "subsample": 1.0}
+    model = create_model("gradient_boosting", **params).fit(rows)
+    sides = model.transform(rows).groupBy(F.round("prediction", 6).alias("prediction"))
+    return sides.agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def top_importances(spark, folder):
     names, _, model = _stump(spark, folder)
@@ -647,6 +658,28 @@ def score_mlp(spark, folder):
     return rounded(model.transform(recipe.transform(rows)).select("row_id", "prediction"), 5)
 
 
+@query
+def network_loss(spark, folder):
+    """Mean squared error of the stored network over the rows it would be validated on."""
+    rows, recipe, model = _stored_network(spark, folder)
+    marked = hash_split(rows, 0.1, MlpRegressor().seed + VALIDATION_SEED_SHIFT)
+    held_out = recipe.transform(marked.filter("split = 'test'"))
+    loss = model.mean_squared_error(held_out)
+    return held_out.agg(F.count(F.lit(1)).alias("n")).withColumn("loss", F.round(F.lit(loss), 5))
+
+
+@query
+def written_predictions(spark, folder):
+    """Predictions written as CSV and as parquet, read back."""
+    rows = prediction_output(B.blend_predictions(spark, folder))
+    path = new_scratch_path(spark, "predictions")
+    write_predictions(rows, f"{path}/csv")
+    write_predictions(rows, f"{path}/parquet", "parquet")
+    texts = spark.read.schema(rows.schema).options(header=True, **CSV_READING).csv(f"{path}/csv")
+    both = texts.withColumn("fmt", F.lit("csv")).unionByName(read_table(spark, f"{path}/parquet").withColumn("fmt", F.lit("parquet")))
+    return rounded(both)
+
+
 @query
 def batch_score(spark, folder):
     """Recipe and network stored, loaded again, and applied to the raw ratings."""
