@@ -139,13 +139,14 @@ def link_wide(
     pivots = np.random.default_rng(7).integers(0, 1 << 64, (PIVOTS, words), np.uint64)
     keyed = distinct.select("node", "wide", F.explode(key_columns(F.col("wide"), words, key_bits)).alias("key"))
     sizes = distinct.select(F.explode(key_columns(F.col("wide"), words, key_bits)).alias("key")).groupBy("key").count()
-    shared = materialize(
-        sizes.where("count > 1").select("key", F.ceil(F.col("count") / tile).cast("int").alias("parts")), "buckets"
+    # Only buckets above a tile need to be known before the rows are dealt: few, and mostly sent to the tasks.
+    large = materialize(
+        sizes.where(F.col("count") > tile).select("key", F.ceil(F.col("count") / tile).cast("int").alias("parts")), "buckets"
     )
-    own = F.pmod(F.xxhash64(F.lit("part"), "node"), F.col("parts")).cast("int")
     tiles = (
-        keyed.join(shared, "key")
-        .withColumn("own", own)
+        keyed.join(large, "key", "left")
+        .withColumn("parts", F.coalesce("parts", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64(F.lit("part"), "node"), F.col("parts")).cast("int"))
         .select("key", "node", "wide", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "wide")
         .repartition("key", "i", "j")
