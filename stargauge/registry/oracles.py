@@ -689,8 +689,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "standard_scale": two_scaled(),
         "pairwise_interactions": pair_products(),
-        "svd_energy": sql("SELECT round(sum(rating * rating), 3) AS energy FROM low", "prep_e", low=LOW_RANK),
-        "svd_reconstruction": sql("SELECT userId, movieId, round(rating, 4) AS rating FROM low", "prep_e", low=LOW_RANK),
+        "svd_energy": sql(
+            """SELECT round(sum(m * m), 3) AS energy
+               FROM (SELECT avg(rating) AS m FROM prep_e GROUP BY userId, movieId)""",
+            "prep_e",
+        ),
+        "svd_reconstruction": sql(
+            f"SELECT userId, movieId, {r6('avg(rating)', 'rating', 4)} FROM prep_e GROUP BY 1, 2", "prep_e"
+        ),
         "factor_products": sql(
             "SELECT userId, movieId, round(rating, 4) AS rating, round(rating, 4) AS product FROM low", "prep_e", low=LOW_RANK
         ),

@@ -190,3 +190,19 @@ def test_svd_leaves_out_rows_without_keys(spark):
     result = svd_factors(spark.createDataFrame(rows, "userId long, movieId long, rating double"), 2)
     exact = np.linalg.svd(np.array([[2.0, 3.0], [4.0, 0.0], [0.0, 0.0]]), compute_uv=False)
     assert np.allclose(result.singular_values, exact) and result.user_factors.count() == 3
+
+
+@pytest.mark.parametrize("name", ["svd_energy", "svd_reconstruction"])
+def test_svd_queries_cover_every_cell_of_the_given_ratings(spark, name):
+    from stargauge.operators.stats import user_item_mean
+    from stargauge.registry.spark_queries import QUERIES
+    from stargauge.sources import views
+    from support import SMALL
+
+    cells = {(r["userId"], r["movieId"]): r["rating"] for r in user_item_mean(views.prep_e(spark, SMALL)).collect()}
+    got = QUERIES[name](spark, SMALL).collect()
+    if name == "svd_energy":
+        assert abs(got[0]["energy"] - sum(x * x for x in cells.values())) < 1e-3
+    else:
+        assert {(r["userId"], r["movieId"]) for r in got} == set(cells) and len(got) == len(cells)
+        assert all(abs(r["rating"] - cells[r["userId"], r["movieId"]]) < 1e-4 for r in got)
