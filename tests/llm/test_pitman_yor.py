@@ -9,21 +9,31 @@ from pyspark.sql import functions as F
 
 from stargauge.llm import pitman_yor
 from stargauge.llm.common import remainder, table
-from stargauge.llm.pitman_yor import SAMPLES, STRENGTH, Chunk, Restaurants, packed, score_documents, seat_part, tokens_of, unpacked
+from stargauge.llm.pitman_yor import SAMPLES, STRENGTH, Model, Part, frequent_words, of_kind, packed, score_documents, tokens_of, unpacked
 
 
-def model_of(texts, contexts, parts=1):
-    """Answers and totals of a small corpus in one chunk."""
-    chunk = Chunk(contexts)
-    for i, t in enumerate(texts):
-        chunk.add(i, False, t)
-    blocks, streams, totals = chunk.finish(parts)
-    answers, sums = [], 0
-    for part, data in blocks:
-        got, own = seat_part(part, [(0, data)], totals)
-        answers += got
-        sums = sums + np.array(own)
-    return answers, streams, Restaurants.of(totals, np.array(sums))
+def model_of(spark, texts, parts=1):
+    """Each pair's training tokens, tables, and its word's and context's totals, and the model, of a small corpus."""
+    rows = spark.createDataFrame([(i, False, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string")
+    model = Model(rows, frequent_words(rows)[0], parts)
+
+    def opened(p, messages):
+        messages = list(messages)
+        part = Part(of_kind(messages, pitman_yor.BLOCK), parts)
+        if part.chunks:
+            (totals,) = part.from_owners(dict(of_kind(messages, pitman_yor.COUNTED)))
+            roots, of_context = part.from_owners(dict(of_kind(messages, pitman_yor.TOTALS)))
+            words, contexts, counts, _ = part.pairs()
+            (tables,) = unpacked(of_kind(messages, pitman_yor.SEATED)[0][1])
+            for k, (w, c) in enumerate(zip(words, contexts)):
+                yield (
+                    int(part.keys[w]), int(part.keys[c]), int(counts[k]), tables[:, k].tolist(), int(totals[w]), int(totals[c]),
+                    roots[:, w].tolist(), of_context[:, c].tolist(),
+                )
+
+    steps = model.together(model.tokens, model.counted, model.seated, model.returned)
+    assert steps.getNumPartitions() == parts
+    return steps.mapPartitionsWithIndex(opened).collect(), model.restaurants
 
 
 def sentences(n=300):
@@ -32,36 +42,46 @@ def sentences(n=300):
     return [" ".join(x for _ in range(draw.randint(1, 6)) for x in ("the", draw.choice(nouns), draw.choice(verbs))) for _ in range(n)]
 
 
-def test_probabilities_of_each_context_sum_to_one():
+@pytest.mark.parametrize("frequent", [1 << 12, 20])
+def test_probabilities_of_each_context_sum_to_one(spark, monkeypatch, frequent):
+    monkeypatch.setattr(pitman_yor, "FREQUENT", frequent)
     texts = sentences(80) + ["one rare word"]
-    answers, _, model = model_of(texts, [b"the"], parts=3)
+    pairs, model = model_of(spark, texts, parts=3)
     words = Counter(w for t in texts for w in tokens_of(t))
-    assert model.n_words == len(words) and model.customers.sum() == sum(words.values())
-    roots, pairs = {}, {}
-    for _, data in answers:
-        counts, of_pair, contexts, tables, root = unpacked(data)
-        for k in range(len(counts)):
-            roots[counts[k], tuple(root[:, k])] = roots.get((counts[k], tuple(root[:, k])), 0)
-            pairs[len(pairs)] = (int(contexts[k]), int(of_pair[k]), tables[:, k], root[:, k], int(counts[k]))
-        assert (tables <= of_pair).all() and (tables[:, of_pair > 0] >= 1).all()
+    follow = Counter(pair for t in texts for pair in zip([b"", *tokens_of(t)], tokens_of(t)))
+    digest = pitman_yor.xxhash.xxh64_intdigest
+    assert model.n_words == len(words) and model.n_tokens == sum(words.values())
+    assert {(w, c): n for w, c, n, *_ in pairs} == {(digest(w), digest(c)): n for (c, w), n in follow.items()}
+    by_hash = {digest(w): n for w, n in words.items()}
+    for w, c, n, tables, n_word, n_context, roots, of_context in pairs:
+        assert (n_word, n_context) == (by_hash[w], by_hash[c]) and all(1 <= t <= n for t in tables)
+        assert roots == np.sum([x[3] for x in pairs if x[0] == w], axis=0).tolist()
+        assert of_context == np.sum([x[3] for x in pairs if x[1] == c], axis=0).tolist()
     for s in range(SAMPLES):
-        all_tables = model.tables[s].sum()
-        known = (all_tables - model.root_discount * model.n_words) / (STRENGTH + all_tables)
-        unknown = (STRENGTH + model.root_discount * model.n_words) / (STRENGTH + all_tables)
+        roots = {w: r[s] for w, *_, r, _ in pairs}
+        assert sum(roots.values()) == model.tables[s]
+        known = (model.tables[s] - model.root_discount * model.n_words) / (STRENGTH + model.tables[s])
+        unknown = (STRENGTH + model.root_discount * model.n_words) / (STRENGTH + model.tables[s])
         assert math.isclose(known + unknown, 1)
-        for context in (0, 1):
-            held = sum(c - model.discount * t[s] for ctx, c, t, _, _ in pairs.values() if ctx == context)
-            mass = STRENGTH + model.discount * model.tables[s][context]
-            assert math.isclose((held + mass) / (STRENGTH + model.customers[context]), 1)
+        for context in {x[1] for x in pairs}:
+            mine = [x for x in pairs if x[1] == context]
+            held = sum(x[2] - model.discount * x[3][s] for x in mine)
+            mass = STRENGTH + model.discount * mine[0][7][s]
+            assert math.isclose((held + mass) / (STRENGTH + mine[0][5]), 1)
 
 
 def test_context_words_inform_the_next(spark):
-    texts = sentences()
-    answers, streams, model = model_of(texts, [b"the"])
-    logs = [np.concatenate(x) for x in zip(*[model.logs(data) for _, data in answers])]
-    scores = sum(logs[2][unpacked(s)[0]].sum() for s in streams)
-    base = sum(logs[1][unpacked(s)[0]].sum() for s in streams)
-    assert scores > 0.96 * base  # both negative
+    rows = [(i, False, t) for i, t in enumerate(sentences())]
+    r = score_documents(spark.createDataFrame(rows, "doc_id long, held_out boolean, text string")).agg(F.sum("score"), F.sum("base_score")).first()
+    assert r[0] > 0.96 * r[1]  # both negative
+
+
+def test_rare_words_are_contexts_too(spark):
+    draw = random.Random(5)
+    rows = [(i, i >= 600, " ".join(f"a{k} b{k}" for k in draw.sample(range(400), 8))) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string")
+    r = score_documents(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert r[0] > 0.65 * r[1]  # the second word of each pair is known from the first; both are far below 1 in 256
 
 
 def brute_base(rows):
