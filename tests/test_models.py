@@ -238,3 +238,35 @@ def test_null_arrays_stay_null(spark):
     assert [r["s"] for r in summed] == [3.0, None, 7.0, None]
     doubled = df.select("i", array_map(lambda m: 2 * m)("features").alias("d")).orderBy("i").collect()
     assert [r["d"] for r in doubled] == [[2.0, 4.0], None, [6.0, 8.0], None]
+
+
+def test_network_order_is_sparks_hash_order(spark):
+    """The order within a shard equals the sort that each epoch ran over all rows; unknown keys included."""
+    from stargauge.plans.mlp import mixed_order
+
+    rng = np.random.default_rng(8)
+    keys = [int(k) for k in rng.integers(-(2**63), 2**63 - 1, 300)] + [0, 1, -1, None]
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "at int, row_id long")
+    wanted = rows.orderBy(F.xxhash64(F.lit(42), F.lit(7), "row_id"), "row_id").collect()
+    known = np.array([k is not None for k in keys])
+    order = mixed_order(42, 7, np.array([k or 0 for k in keys], np.int64), known)
+    assert order.tolist() == [r["at"] for r in wanted]
+
+
+def test_network_epochs_sort_no_rows_in_spark(learnable, monkeypatch):
+    """Rows are sorted and packed once; before, each epoch sorted the whole table again."""
+    sorts, kind = [], type(learnable)
+    plain = kind.sortWithinPartitions
+    monkeypatch.setattr(kind, "sortWithinPartitions", lambda self, *a, **k: sorts.append(a) or plain(self, *a, **k))
+    counts = []
+    for epochs in (1, 4):
+        MlpRegressor(hidden_dims=[4], epochs=epochs, shards=2).fit(learnable)
+        counts.append(len(sorts))
+    assert counts[1] == 2 * counts[0] == 4
+
+
+def test_network_keys_of_any_kind(learnable):
+    network = MlpRegressor(hidden_dims=[4], epochs=2, shards=3, batch_size=32)
+    named = learnable.withColumn("row_id", F.concat(F.lit("r"), "row_id"))
+    model = network.fit(named, learnable)
+    assert len(model.history) == 2 and np.isfinite(model.mean_squared_error(learnable))
